@@ -319,7 +319,9 @@ class Warehouse:
     @cached_property
     def single_curves(self) -> DataFrame:
         singles = [v for v in self.variants if len(v.components) == 1]
-        return curve_points(self.signal_rows, self.signals, singles, self.costs)
+        points = curve_points(self.signal_rows, self.signals, singles, self.costs)
+        return points.join(self.runs.select("symbol", "strategy"), ["symbol", "strategy"],
+                           "left_semi")
 
     @cached_property
     def run_curve_rows(self) -> DataFrame:

@@ -68,7 +68,7 @@ def kraken_bars(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     envelope = F.from_json("response", "struct<error:array<string>,result:map<string,string>>")
     opened = responses.withColumn("_e", envelope)
     lists = F.map_filter(F.col("_e.result"), lambda k, _: k != "last")
-    opened = opened.withColumn("_list", F.map_values(lists)[0])
+    opened = opened.withColumn("_list", F.get(F.map_values(lists), F.lit(0)))
     failed = F.size(F.coalesce(F.col("_e.error"), F.array().cast("array<string>"))) > 0
     reason = F.when(failed, F.concat(F.lit("venue error: "), F.array_join("_e.error", ","))).when(
         F.col("_list").isNull(), F.lit("no candle list")
