@@ -250,8 +250,8 @@ def _signal(name: str) -> Entry:
 
 ENTRIES = [
     Entry("indicators", "W1 W2 W3 W4 W5 W6 M3",
-          "symbol:s ts:t open:d6 high:d6 low:d6 close:d6 volume:d6 daily_return:d6 sma_20:d6 "
-          "sma_50:d6 sma_200:d6 vol_sma_20:d6 rsi_14:d6 bb_mid_20:d6 bb_upper_20:d6 "
+          "symbol:s ts:t open:d6 high:d6 low:d6 close:d6 volume:d6 daily_return:d6 sma_20:d8 "
+          "sma_50:d8 sma_200:d9 vol_sma_20:d8 rsi_14:d6 bb_mid_20:d8 bb_upper_20:d6 "
           "bb_lower_20:d6", lambda w: w.indicator_rows,
           """SELECT *, sma_20 AS bb_mid_20, sma_20 + 2 * dev_20 AS bb_upper_20,
                     sma_20 - 2 * dev_20 AS bb_lower_20 FROM ind"""),
@@ -262,7 +262,7 @@ ENTRIES = [
           """SELECT symbol, ts, delta / nullif(close - delta, 0) AS daily_return,
                     CASE WHEN delta IS NOT NULL THEN greatest(delta, 0) END AS gain,
                     CASE WHEN delta IS NOT NULL THEN greatest(-delta, 0) END AS loss FROM num"""),
-    Entry("moving_averages", "B1", "symbol:s ts:t close_50:d6 volume_20:d6", _averages,
+    Entry("moving_averages", "B1", "symbol:s ts:t close_50:d8 volume_20:d8", _averages,
           """SELECT symbol, ts, CASE WHEN rn >= 49 THEN avg(close) OVER
                         (PARTITION BY symbol ORDER BY rn ROWS 49 PRECEDING) END AS close_50,
                     CASE WHEN rn >= 19 AND volume IS NOT NULL THEN avg(volume) OVER
@@ -316,8 +316,8 @@ ENTRIES = [
                     arg_min(open, ts) AS open_full, arg_max(close, ts) AS close_full,
                     arg_max(close, ts) / (arg_min(open, ts) * 1.0005 * 1.001) - 1 AS buy_hold
              FROM bars GROUP BY 1"""),
-    Entry("trades", "B18", "symbol:s strategy:s window:s entry_ts:t exit_ts:t entry_fill:d6 "
-          "exit_fill:d6 return_pct:d6",
+    Entry("trades", "B18", "symbol:s strategy:s window:s entry_ts:t exit_ts:t entry_fill:d9 "
+          "exit_fill:d9 return_pct:d6",
           lambda w: round_trips(w.active, w.variants, w.costs).join(
               w.metrics.where("total_return is not null").select("symbol", "strategy", "window"),
               ["symbol", "strategy", "window"], "left_semi"),

@@ -197,18 +197,18 @@ ENTRIES = [
                     CASE symbol WHEN '3-MEDIUM' THEN symbol ELSE name END AS name,
                     CASE asset_class WHEN 'crypto' THEN 365 ELSE 252 END AS periods_per_year
              FROM catalog"""),
-    Entry("bronze_dedup_append", "S9", "source:s symbol:s candle_ts:t close:d6", _appended,
+    Entry("bronze_dedup_append", "S9", "source:s symbol:s candle_ts:t close:d9", _appended,
           "SELECT source, symbol, ts AS candle_ts, close FROM typed WHERE k % 2 = 1"),
     Entry("bronze_replication", "S10 S11", "relation:s rows_sent:i rows_inserted:i", _replicated,
           """SELECT 'ingest_runs' AS relation, count(*) AS rows_sent,
                     count_if(ingest_run_id % 3 <> 0) AS rows_inserted FROM audit
              UNION ALL SELECT 'raw_candles', count(*), count_if(k % 3 <> 0) FROM typed"""),
     Entry("optional_relation", "S17 P17 P18",
-          "symbol:s strategy:s n_components:i excess_return:d4 oos_excess_return:d4 "
+          "symbol:s strategy:s n_components:i excess_return:d6 oos_excess_return:d6 "
           "beat_bh_full:b beat_bh_oos:b n_trades:i", _fallback,
           """SELECT symbol, strategy, n_components, n_trades,
-                    total_return - buy_hold_return AS excess_return,
-                    oos_total_return - oos_buy_hold_return AS oos_excess_return,
+                    round_even(total_return - buy_hold_return, 6) AS excess_return,
+                    round_even(oos_total_return - oos_buy_hold_return, 6) AS oos_excess_return,
                     total_return > buy_hold_return AS beat_bh_full,
                     oos_total_return > oos_buy_hold_return AS beat_bh_oos FROM runs"""),
     Entry("layer_rebuild", "S18", "symbol:s bars:i with_sma_200:i", _rebuilt,
@@ -254,11 +254,11 @@ ENTRIES = [
              FROM (SELECT symbol, min(ts) AS lo, max(ts) AS hi FROM bars GROUP BY 1),
                   range(0, 100) r(i) WHERE lo + to_days((300 * i)::INT) <= hi"""),
     Entry("bronze_parse", "P1 P2 P3 M1",
-          "source:s symbol:s granularity:s ts:t open:d6 high:d6 low:d6 close:d6 volume:d6 "
+          "source:s symbol:s granularity:s ts:t open:d6 high:d6 low:d6 close:d9 volume:d6 "
           "adj_close:d6 is_zero_volume:b has_null_price:b high_lt_low:b",
           lambda w: w.typed, "SELECT * FROM flagged"),
     Entry("source_priority_dedup", "W7 M2",
-          "source:s symbol:s granularity:s ts:t open:d6 close:d6 volume:d6 adj_close:d6 "
+          "source:s symbol:s granularity:s ts:t open:d6 close:d9 volume:d6 adj_close:d6 "
           "is_zero_volume:b", lambda w: w.canonical, "SELECT * FROM canon"),
     Entry("utc_dates", "P6", "day:D attempts:i",
           lambda w: w.audit.groupBy(F.to_date("started_at").alias("day")).agg(

@@ -302,7 +302,7 @@ RANKED_SQL = """
 
 ENTRIES = [
     Entry("source_reconciliation", "J1 P12 M4",
-          "symbol:s ts:t coinbase_close:d6 kraken_close:d6 abs_pct_diff:d6 is_discrepant:b",
+          "symbol:s ts:t coinbase_close:d6 kraken_close:d9 abs_pct_diff:d6 is_discrepant:b",
           lambda w: w.reconciliation,
           "SELECT *, coalesce(abs_pct_diff > 0.5, false) AS is_discrepant FROM recon"),
     Entry("reconciliation_rollup", "A11", "symbol:s n_discrepant:i max_abs_pct_diff:d6",
@@ -355,9 +355,15 @@ ENTRIES = [
              FROM typed"""),
     # --- publishing ---------------------------------------------------------------------------
     Entry("variant_entries", "P18 P19",
-          "symbol:s strategy:s n_components:i exposure:d5 total_return:d4 excess_return:d4 "
-          "oos_excess_return:d4 beat_bh_full:b beat_bh_oos:b sharpe:d3 max_drawdown:d5 n_trades:i",
-          _entries, "SELECT * FROM variants"),
+          "symbol:s strategy:s n_components:i exposure:d6 total_return:d6 excess_return:d6 "
+          "oos_excess_return:d6 beat_bh_full:b beat_bh_oos:b sharpe:d4 max_drawdown:d6 n_trades:i",
+          _entries,
+          """SELECT * REPLACE (round_even(exposure, 6) AS exposure,
+                    round_even(total_return, 6) AS total_return,
+                    round_even(excess_return, 6) AS excess_return,
+                    round_even(oos_excess_return, 6) AS oos_excess_return,
+                    round_even(sharpe, 4) AS sharpe,
+                    round_even(max_drawdown, 6) AS max_drawdown) FROM variants"""),
     Entry("published_rounding", "P19", "symbol:s ts:t price:d2 gap:d4", _rounded,
           """SELECT symbol, ts, round_even(kraken_close, 2) AS price,
                     round_even(abs_pct_diff, 4) AS gap FROM recon"""),
@@ -393,7 +399,7 @@ ENTRIES = [
           "symbol:s split_ts:s n_backtests:i n_combinations:i points:i n_bars:i total_return:d4",
           _document_fields,
           """SELECT r.symbol, strftime(first(split_ts ORDER BY strategy), '%Y-%m-%dT%H:%M:%S')
-                        || 'Z' AS split_ts,
+                        || '+00:00' AS split_ts,
                     count_if(n_components = 1) AS n_backtests, count(*) AS n_combinations,
                     least(400, max(n_bars)) AS points, max(n_bars) AS n_bars,
                     first(total_return ORDER BY n_components, strategy) AS total_return
