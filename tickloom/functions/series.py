@@ -82,6 +82,16 @@ def spread(df: DataFrame, lookback: int, *, chunk_bars: int = CHUNK_BARS) -> Dat
     )
 
 
+def by_chunk(df: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Hash rows to their chunk, keeping the configured number of shuffle partitions.
+
+    Adaptive coalescing sizes partitions by the bytes that arrive; where each row is about to be
+    expanded many times, that would leave too few tasks.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys, "chunk")
+
+
 def chunk_order(keys: Sequence[str] = ("symbol",)) -> WindowSpec:
     """Bars of one chunk in order; the only per-bar ordering this package asks Spark for."""
     return Window.partitionBy(*keys, "chunk").orderBy("rn")

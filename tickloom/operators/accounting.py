@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import periods_per_year
-from tickloom.functions.series import CHUNK_BARS, carried, so_far, spread
+from tickloom.functions.series import CHUNK_BARS, by_chunk, carried, so_far, spread
 from tickloom.operators.signals import Signal, pack
 from tickloom.operators.variants import (
     MIN_WINDOW_BARS,
@@ -85,7 +85,7 @@ def with_history(
     )
     w = Window.partitionBy("symbol", "chunk").orderBy("rn")
     return (
-        spread(narrow, 2, chunk_bars=chunk_bars)
+        by_chunk(spread(narrow, 2, chunk_bars=chunk_bars))
         .withColumn("bits1", F.coalesce(F.lag("bits", 1).over(w), F.lit(0)))
         .withColumn("bits2", F.coalesce(F.lag("bits", 2).over(w), F.lit(0)))
         .withColumn("prev_close", F.lag("close").over(w))

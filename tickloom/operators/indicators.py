@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.series import (
     CHUNK_BARS,
+    by_chunk,
     chunk_order,
     number_bars,
     spread,
@@ -41,7 +42,7 @@ def indicators(bars: DataFrame, *, chunk_bars: int = CHUNK_BARS) -> DataFrame:
     """
     numbered = number_bars(bars.select(*BAR_COLUMNS), chunk_bars=chunk_bars)
     w = chunk_order()
-    rows = price_changes(spread(numbered, LONGEST_FRAME, chunk_bars=chunk_bars))
+    rows = price_changes(by_chunk(spread(numbered, LONGEST_FRAME, chunk_bars=chunk_bars)))
 
     def from_bar(bar_number: int, value: Column) -> Column:
         return F.when(F.col("rn") >= bar_number - 1, value)

@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 
 from tickloom.functions.series import (
     CHUNK_BARS,
+    by_chunk,
     carried,
     chunk_order,
     full_max,
@@ -214,7 +215,7 @@ def _zero_state(params: Mapping[str, Any], schema_names: list[str]) -> Callable:
 def signal_base(
     bars: DataFrame, signals: Sequence[Signal], *, chunk_bars: int = CHUNK_BARS
 ) -> DataFrame:
-    """Everything a bar can learn from its own chunk: frame signals, latch events, zero states.
+    """Everything a bar can learn from its own chunk: frame signals, latched events, zero states.
 
     ``live_volume`` counts the symbol's bars with a non-zero volume (0 means no usable tape).
     One shuffle numbers the bars and one moves them to their chunks.
@@ -228,7 +229,7 @@ def signal_base(
         totals={"live_volume": live},
     )
     lookback = max([1, *[s.lookback for s in signals]])
-    rows = price_changes(spread(numbered, lookback, chunk_bars=chunk_bars))
+    rows = price_changes(by_chunk(spread(numbered, lookback, chunk_bars=chunk_bars)))
     w = chunk_order()
     made = []
     for s in signals:
@@ -237,7 +238,13 @@ def signal_base(
         elif s.kind == "latch":
             made.append(s.build(w, reusable).cast("int").alias(f"ev_{s.name}"))
     kept = [*BAR_COLUMNS, "rn", "n", "chunk", "close0", "live_volume"]
-    base = rows.select(*kept, "core", *made).where("core").drop("core")
+    base = rows.select(*kept, "core", *made)
+    for s in signals:
+        if s.kind == "latch":
+            # Events of look-back copies are exact or NULL, so they may only help.
+            held = F.last(f"ev_{s.name}", ignorenulls=True).over(so_far(w))
+            base = base.withColumn(f"ev_{s.name}", held)
+    base = base.where("core").drop("core")
     for s in signals:
         if s.kind == "cross":
             schema = StructType(list(base.schema.fields))
@@ -255,16 +262,17 @@ def signal_base(
 def resolve_signals(
     base: DataFrame, signals: Sequence[Signal], *, chunk_bars: int = CHUNK_BARS
 ) -> DataFrame:
-    """Finish latches and exponential crosses with the state carried into each chunk."""
+    """Finish latches and exponential crosses with the state carried into each chunk.
+
+    Bars are only joined with one row per chunk; nothing is sorted or windowed again.
+    """
     latches = [s for s in signals if s.kind == "latch"]
     crosses = [s for s in signals if s.kind == "cross"]
     out = base
     if latches or crosses:
         ends = base.groupBy("symbol", "chunk").agg(
             *[
-                F.max_by(f"ev_{s.name}", F.when(F.col(f"ev_{s.name}").isNotNull(), F.col("rn")))
-                .alias(f"end_{s.name}")
-                for s in latches
+                F.max_by(f"ev_{s.name}", "rn").alias(f"end_{s.name}") for s in latches
             ],
             *[
                 F.max_by(f"z_{s.name}_{part}", "rn").alias(f"end_{s.name}_{part}")
@@ -283,12 +291,9 @@ def resolve_signals(
             *[_entering_state(s, before, chunk_bars).alias(f"in_{s.name}") for s in crosses],
         )
         out = out.join(carry, ["symbol", "chunk"])
-    w = so_far(chunk_order())
     for s in latches:
-        local = F.last(f"ev_{s.name}", ignorenulls=True).over(w)
-        out = out.withColumn(
-            f"sig_{s.name}", F.coalesce(local, F.col(f"in_{s.name}"), F.lit(0)).cast("int")
-        )
+        state = F.coalesce(F.col(f"ev_{s.name}"), F.col(f"in_{s.name}"), F.lit(0))
+        out = out.withColumn(f"sig_{s.name}", state.cast("int"))
     steps = (F.col("rn") - F.col("chunk") * chunk_bars + 1).cast("double")
     for s in crosses:
         out = out.withColumn(f"sig_{s.name}", _cross(s, steps))

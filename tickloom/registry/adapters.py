@@ -105,7 +105,7 @@ class Warehouse:
             F.col("o_custkey") == F.col("c_custkey"),
         )
         symbol = F.concat_ws("/", F.col("c_nationkey").cast("string"), "o_orderpriority")
-        return bars_from(rows, symbol)
+        return materialise(bars_from(rows, symbol), "bars125")
 
     @cached_property
     def catalog(self) -> DataFrame:
@@ -267,9 +267,17 @@ class Warehouse:
 
     @cached_property
     def signal_rows(self) -> DataFrame:
-        base = materialise(signal_base(self.bars, self.signals), "signal_base")
+        return self._resolved(self.bars)
+
+    def _resolved(self, bars: DataFrame) -> DataFrame:
+        """Signals of ``bars``; both stages are written, because each is read more than once."""
+        base = materialise(signal_base(bars, self.signals), "signal_base")
         return materialise(resolve_signals(base, self.signals), "signals")
 
+    @cached_property
+    def signal_rows125(self) -> DataFrame:
+        return self._resolved(self.bars125)
+
     @cached_property
     def active(self) -> DataFrame:
         return active_bars(

@@ -178,7 +178,7 @@ def _binary(w: Warehouse):
 
 def _wide(w: Warehouse):
     """Every variant and window over one symbol per nation and priority."""
-    resolved = resolve_signals(signal_base(w.bars125, w.signals), w.signals)
+    resolved = w.signal_rows125
     classes = w.bars125.select("symbol").distinct().withColumn("asset_class", F.lit("equity"))
     return score_variants(resolved, classes, w.signals, w.variants, w.costs)
 
