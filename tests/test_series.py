@@ -13,6 +13,10 @@ from tickloom.functions.series import (
     number_bars,
     running_peak,
     spread,
+    tile_size,
+    tiled,
+    tiles,
+    trailing,
 )
 from tickloom.operators.indicators import indicators
 
@@ -41,12 +45,33 @@ def test_moving_average_does_not_depend_on_chunks(spark, chunk):
             assert row.m == pytest.approx(sum(values[i - 9:i + 1]) / 10, abs=1e-10)
 
 
+@pytest.mark.parametrize("size", [1, 7, 12, 50])
+def test_tiled_frames_equal_plain_frames(spark, size):
+    df = spread(number_bars(frame(spark, bars(wave(90)))), size)
+    w = chunk_order()
+    staged = df.withColumns(tiles("x", "close", w, size, "sum", "max", "min"))
+    rows = staged.select(
+        "rn",
+        *[tiled("x", w, size, k).alias(k) for k in ("count", "sum", "max", "min")],
+        *[getattr(F, k)("close").over(trailing(w, size)).alias(f"plain_{k}")
+          for k in ("count", "sum", "max", "min")],
+    ).collect()
+    for r in rows:
+        assert r["count"] == r.plain_count and r["sum"] == pytest.approx(r.plain_sum, rel=1e-13)
+        assert (r["max"], r["min"]) == (r.plain_max, r.plain_min)
+    assert tile_size(200) == 10 or tile_size(200) == 20
+
+
 def test_indicators_agree_for_any_chunk_size(spark):
     df = frame(spark, bars(wave(260), "A", step=2), bars(wave(230, shift=4), "B"))
-    small = indicators(df, chunk_bars=32)
-    large = indicators(df)
+    small, large = (
+        indicators(df, **size).selectExpr(
+            "symbol", "ts", "round(sma_50, 8) a", "round(sma_200, 8) b", "round(rsi_14, 8) c",
+            "round(bb_upper_20, 8) d", "vol_sma_20", "daily_return")
+        for size in ({"chunk_bars": 32}, {})
+    )
     assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
-    assert large.where("sma_200 is not null").count() == 61 + 31
+    assert large.where("b is not null").count() == 61 + 31
 
 
 def test_running_peak_and_largest_step(spark):

@@ -14,6 +14,7 @@ Only chunk summaries (one row per 4,096 bars) are ever ordered per symbol.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -130,6 +131,44 @@ def full_min(column: Column | str, w: WindowSpec, size: int) -> Column:
     return F.when(F.count(column).over(frame) == size, F.min(column).over(frame))
 
 
+# --- long frames --------------------------------------------------------------------------
+#
+# A sliding frame is evaluated row by row, so a 200-bar mean costs 200 updates per bar. A long
+# frame is therefore put together from short ones: the aggregate of the last ``d`` bars, taken
+# ``size / d`` times at distances of ``d`` bars. For 200 bars that is 20 + 10 steps.
+
+
+def tile_size(size: int) -> int:
+    """Divisor of ``size`` that makes the frame plus the number of tiles smallest."""
+    divisors = [d for d in range(1, size + 1) if size % d == 0]
+    return min(divisors, key=lambda d: (d + size // d, d))
+
+
+def tiles(name: str, column: str, w: WindowSpec, size: int, *kinds: str) -> dict[str, Column]:
+    """Short-frame columns (the count and each of ``kinds``) that ``tiled`` puts together."""
+    frame = trailing(w, tile_size(size))
+    return {
+        f"_{name}_{kind}": getattr(F, kind)(column).over(frame) for kind in ("count", *kinds)
+    }
+
+
+def tiled(name: str, w: WindowSpec, size: int, kind: str) -> Column:
+    """``kind`` (count, sum, max or min) over the last ``size`` bars, from columns of ``tiles``."""
+    step = tile_size(size)
+    column = f"_{name}_{kind}"
+    parts = [F.lag(column, j * step).over(w) if j else F.col(column) for j in range(size // step)]
+    if kind in ("count", "sum"):
+        return reduce(lambda a, b: a + b, [F.coalesce(part, F.lit(0)) for part in parts])
+    if len(parts) == 1:
+        return parts[0]
+    return F.greatest(*parts) if kind == "max" else F.least(*parts)
+
+
+def when_full(name: str, w: WindowSpec, size: int, value: Column) -> Column:
+    """``value`` once the frame holds ``size`` non-null values."""
+    return F.when(tiled(name, w, size, "count") == size, value)
+
+
 def running_peak(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     """Add ``peak``: maximum of ``value`` up to and including each bar (needs ``rn``, ``chunk``)."""
     keys = list(keys)

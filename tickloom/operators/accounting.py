@@ -488,14 +488,13 @@ def round_trips(active: DataFrame, variants: Sequence[Variant], costs: Costs) ->
     events = active.where("enter or leave")
     w = so_far(Window.partitionBy(*KEY).orderBy("rn"))
     local = events.withColumn("_entry", F.last(F.when(F.col("enter"), edge), True).over(w))
-    tails = (
-        events.where("enter")
-        .groupBy(*KEY)
-        .agg(F.max("rn").alias("_rn"), F.max_by("ts", "rn").alias("ts"),
-             F.max_by("open", "rn").alias("open"))
+    opened = F.when(F.col("enter"), F.col("rn"))
+    tails = events.groupBy(*KEY).agg(
+        F.max(opened).alias("_rn"),
+        F.max_by("ts", opened).alias("ts"),
+        F.max_by("open", opened).alias("open"),
     )
-    chunks = events.select(*KEY).distinct().join(tails, list(KEY), "left")
-    carry = chunks.select(
+    carry = tails.select(
         *KEY,
         F.last(F.when(F.col("_rn").isNotNull(), edge), True).over(carried(SERIES)).alias("_in"),
     )

@@ -11,6 +11,8 @@ from tickloom.functions.series import (
     chunk_order,
     number_bars,
     spread,
+    tiled,
+    tiles,
     trailing,
 )
 
@@ -50,13 +52,19 @@ def indicators(bars: DataFrame, *, chunk_bars: int = CHUNK_BARS) -> DataFrame:
     def mean(column: str, size: int) -> Column:
         return F.avg(column).over(trailing(w, size))
 
+    def long_mean(name: str, size: int) -> Column:
+        return tiled(name, w, size, "sum") / F.nullif(tiled(name, w, size, "count"), F.lit(0))
+
+    rows = rows.withColumns(
+        {**tiles("c50", "close", w, 50, "sum"), **tiles("c200", "close", w, 200, "sum")}
+    )
     up, down = F.col("_up"), F.col("_down")
     mid, dev = F.col("_mid"), F.col("_dev")
     return (
         rows.withColumn("_mid", mean("close", 20))
         .withColumn("_dev", F.stddev_pop("close").over(trailing(w, 20)))
-        .withColumn("_c50", mean("close", 50))
-        .withColumn("_c200", mean("close", 200))
+        .withColumn("_c50", long_mean("c50", 50))
+        .withColumn("_c200", long_mean("c200", 200))
         .withColumn("_v20", mean("volume", 20))
         .withColumn("_up", mean("gain", 14))
         .withColumn("_down", mean("loss", 14))

@@ -13,12 +13,13 @@ carried between chunks through one summary row per chunk.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,12 +28,13 @@ from tickloom.functions.series import (
     by_chunk,
     carried,
     chunk_order,
-    full_max,
     full_mean,
-    full_min,
     number_bars,
     so_far,
     spread,
+    tiled,
+    tiles,
+    when_full,
 )
 from tickloom.operators.indicators import BAR_COLUMNS, price_changes
 
@@ -52,7 +54,10 @@ DEFAULT_SIGNALS = (
 
 @dataclass(frozen=True)
 class Signal:
-    """One configured signal; ``build`` returns the column that its ``kind`` calls for."""
+    """One configured signal; ``build`` returns the column that its ``kind`` calls for.
+
+    ``stage`` names columns a pass before ``build`` computes, such as the tiles of long frames.
+    """
 
     name: str
     params: Mapping[str, Any]
@@ -61,6 +66,7 @@ class Signal:
     kind: str
     build: Callable[[WindowSpec, Collection[str]], Column] | None = None
     requires_volume: bool = False
+    stage: Callable[[WindowSpec], dict[str, Column]] | None = None
 
 
 Factory = Callable[[Mapping[str, Any]], Signal]
@@ -109,16 +115,21 @@ def _sma_cross(params: Mapping[str, Any]) -> Signal:
     fast, slow = params["fast"], params["slow"]
     _require(0 < fast < slow, "sma_cross needs 0 < fast < slow")
 
-    def build(w: WindowSpec, have: Collection[str]) -> Column:
-        return _mean_of_close(w, have, fast) > _mean_of_close(w, have, slow)
+    def stage(w: WindowSpec) -> dict[str, Column]:
+        return {
+            **tiles("sma_fast", "close", w, fast, "sum"), **tiles("sma_slow", "close", w, slow, "sum")
+        }
 
-    return Signal("sma_cross", params, slow, slow, "frame", build)
+    def build(w: WindowSpec, have: Collection[str]) -> Column:
+        def mean(name: str, size: int) -> Column:
+            # An sma_<n> column the bars already carry is used instead.
+            if f"sma_{size}" in have:
+                return F.col(f"sma_{size}")
+            return when_full(name, w, size, tiled(name, w, size, "sum") / size)
 
+        return mean("sma_fast", fast) > mean("sma_slow", slow)
 
-def _mean_of_close(w: WindowSpec, have: Collection[str], size: int) -> Column:
-    """An ``sma_<n>`` column the bars already carry is reused instead of computed again."""
-    name = f"sma_{size}"
-    return F.col(name) if name in have else full_mean("close", w, size)
+    return Signal("sma_cross", params, slow, slow, "frame", build, stage=stage)
 
 
 @register("macd")
@@ -169,11 +180,17 @@ def _fibonacci(params: Mapping[str, Any]) -> Signal:
     _require(window >= 2, "fibonacci needs window >= 2")
     _require(0.0 < part < 1.0, "fibonacci needs 0 < ratio < 1")
 
+    def stage(w: WindowSpec) -> dict[str, Column]:
+        return {
+            **tiles("fib_top", "high", w, window, "max"), **tiles("fib_bottom", "low", w, window, "min")
+        }
+
     def build(w: WindowSpec, have: Collection[str]) -> Column:
-        top, bottom = full_max("high", w, window), full_min("low", w, window)
+        top = when_full("fib_top", w, window, tiled("fib_top", w, window, "max"))
+        bottom = when_full("fib_bottom", w, window, tiled("fib_bottom", w, window, "min"))
         return F.col("close") > top - (top - bottom) * part
 
-    return Signal("fibonacci", params, window, window, "frame", build)
+    return Signal("fibonacci", params, window, window, "frame", build, stage=stage)
 
 
 # --- exponential averages ------------------------------------------------------------------
@@ -231,6 +248,8 @@ def signal_base(
     lookback = max([1, *[s.lookback for s in signals]])
     rows = price_changes(by_chunk(spread(numbered, lookback, chunk_bars=chunk_bars)))
     w = chunk_order()
+    staged = {name: c for s in signals if s.stage for name, c in s.stage(w).items()}
+    rows = rows.withColumns(staged) if staged else rows
     made = []
     for s in signals:
         if s.kind == "frame":
@@ -281,6 +300,7 @@ def resolve_signals(
             ],
         )
         before = carried(("symbol",))
+        recent = Window.partitionBy("symbol").orderBy("chunk")
         carry = ends.select(
             "symbol",
             "chunk",
@@ -288,7 +308,11 @@ def resolve_signals(
                 F.last(f"end_{s.name}", ignorenulls=True).over(before).alias(f"in_{s.name}")
                 for s in latches
             ],
-            *[_entering_state(s, before, chunk_bars).alias(f"in_{s.name}") for s in crosses],
+            *[
+                _entering_state(s, recent.rowsBetween(-_reach(s, chunk_bars), -1), chunk_bars)
+                .alias(f"in_{s.name}")
+                for s in crosses
+            ],
         )
         out = out.join(carry, ["symbol", "chunk"])
     for s in latches:
@@ -301,8 +325,14 @@ def resolve_signals(
     return out.drop(*helpers, "close0")
 
 
+def _reach(s: Signal, chunk_bars: int) -> int:
+    """Chunks back after which a state is multiplied by less than exp(-1500), that is by zero."""
+    slowest = max(_decay(s.params[k]) for k in ("fast", "slow", "signal"))
+    return 1 if slowest <= 0 else math.ceil(1500.0 / (-math.log(slowest) * chunk_bars)) + 1
+
+
 def _entering_state(s: Signal, before: WindowSpec, chunk_bars: int) -> Column:
-    """Fold the chunk-end zero states of all earlier chunks (one row per chunk) in order."""
+    """Fold the chunk-end zero states of the earlier chunks (one row per chunk) in order."""
     fast, slow, line = (_decay(s.params[k]) for k in ("fast", "slow", "signal"))
     size = F.lit(float(chunk_bars))
     zero = F.struct(*[F.lit(0.0).alias(part) for part in ("fast", "slow", "line")])

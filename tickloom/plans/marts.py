@@ -376,7 +376,9 @@ def totals(bronze: DataFrame, runs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("bronze_rows"),
         F.countDistinct("source").alias("sources"),
     )
-    return raw.crossJoin(runs.agg(F.count(F.lit(1)).alias("backtests")))
+    made = runs.agg(F.count(F.lit(1)).alias("backtests"))
+    both = raw.unionByName(made, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def recent_attempts(audit: DataFrame, limit: int = 40) -> DataFrame:

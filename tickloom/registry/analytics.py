@@ -127,14 +127,20 @@ def _splits(w: Warehouse):
 
 def _composed(w: Warehouse):
     """Bars on which every component of a variant is on."""
-    bits = w.signal_rows.groupBy("symbol", pack(w.signals).alias("bits")).agg(
+    packed = w.signal_rows.groupBy("symbol", pack(w.signals).alias("bits")).agg(
         F.count(F.lit(1)).alias("bars")
     )
-    joined = _lattice(w).select("symbol", "mask", "strategy").join(bits, "symbol")
-    on = F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")
-    return joined.groupBy("symbol", "strategy").agg(
-        F.sum(F.when(on, F.col("bars")).otherwise(0)).alias("bars_on")
+    masks = F.array(*[F.lit(v.mask) for v in w.variants])
+    on = F.filter(masks, lambda m: F.col("bits").bitwiseAND(m) == m)
+    counted = (
+        packed.withColumn("mask", F.explode(on))
+        .groupBy("symbol", "mask")
+        .agg(F.sum("bars").alias("bars_on"))
     )
+    joined = _lattice(w).select("symbol", "mask", "strategy").join(
+        counted, ["symbol", "mask"], "left"
+    )
+    return joined.withColumn("bars_on", F.coalesce("bars_on", F.lit(0)))
 
 
 def _edges(w: Warehouse):

@@ -89,10 +89,10 @@ def replicate(
     """Rows to append to ``target``, and one row of counts (rows sent, rows inserted)."""
     staged = source.select(*portable_columns(source))
     fresh = unseen(staged, target, key)
-    counts = (
-        staged.agg(F.count(F.lit(1)).alias("rows_sent"))
-        .crossJoin(fresh.agg(F.count(F.lit(1)).alias("rows_inserted")))
+    moved = staged.select(F.lit(1).alias("sent"), F.lit(0).alias("put")).unionByName(
+        fresh.select(F.lit(0).alias("sent"), F.lit(1).alias("put"))
     )
+    counts = moved.agg(F.sum("sent").alias("rows_sent"), F.sum("put").alias("rows_inserted"))
     return fresh, counts
 
 
