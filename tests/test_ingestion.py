@@ -188,3 +188,25 @@ def test_file_arrivals_are_ingested_once(spark, tmp_path):
     arrive(0)
     arrive(1)
     assert spark.read.parquet(store).count() == 2
+
+
+def test_runs_are_appended_with_curves_of_singles_only(spark, tmp_path):
+    runs = spark.createDataFrame(
+        [("r1", "A", "macd", True), ("r2", "A", "fibonacci+macd", False)],
+        "backtest_run_id string, symbol string, strategy string, has_curve boolean")
+    curves = spark.createDataFrame(
+        [("A", s, DAY, 1.0, 1.0) for s in ("macd", "fibonacci+macd")],
+        "symbol string, strategy string, ts timestamp, equity double, buy_hold_equity double")
+    paths = str(tmp_path / "runs"), str(tmp_path / "curves")
+    tables.append_runs(runs, curves, *paths)
+    tables.append_runs(runs, curves, *paths)
+    assert spark.read.parquet(paths[0]).count() == 4
+    assert {r.backtest_run_id for r in spark.read.parquet(paths[1]).collect()} == {"r1"}
+
+
+def test_feed_files_are_read_with_a_fixed_schema(spark, tmp_path):
+    page = json.dumps([[T0, 1, 1, 1, 1, 1]])
+    path = str(tmp_path / "responses")
+    spark.createDataFrame([("A", 0, page)], "symbol string, page int, response string"
+                          ).write.json(path)
+    assert feeds.coinbase_bars(feeds.read_responses(spark, path)).count() == 1
