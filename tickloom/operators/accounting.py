@@ -30,6 +30,7 @@ from tickloom.operators.variants import (
     available_mask,
     expand_variants,
     split_at,
+    variant_array,
     warm_start,
 )
 
@@ -123,25 +124,15 @@ def _with_positions(df: DataFrame, costs: Costs) -> DataFrame:
         .when(F.col("pos"), F.col("close") / F.col("prev_close"))
         .otherwise(F.lit(1.0))
     )
-    return (
-        df.withColumn("pos", pos)
-        .withColumn("was", was)
-        .withColumn("factor", factor)
-        .withColumn("enter", enter)
-        .withColumn("leave", leave)
+    return df.withColumns({"pos": pos, "was": was}).withColumns(
+        {"factor": factor, "enter": enter, "leave": leave}
     )
 
 
 def active_bars(history: DataFrame, variants: Sequence[Variant], costs: Costs) -> DataFrame:
     """Rows (symbol, chunk, mask, window, rn) where a variant holds, opens or closes a position."""
-    small = F.array(
-        *[
-            F.struct(F.lit(v.mask).alias("mask"), F.lit(v.warmup).alias("warmup"))
-            for v in variants
-        ]
-    )
     live = F.filter(
-        small,
+        variant_array(variants, "mask", "warmup"),
         lambda v: _covers(F.col("bits1"), v["mask"]) | _covers(F.col("bits2"), v["mask"]),
     )
     per_variant = (
@@ -433,14 +424,8 @@ def curve_points(
     Every bar is emitted, flat ones too, so only variants that store a curve should be passed.
     """
     history = with_history(signals_df, signals, chunk_bars=chunk_bars)
-    chosen = F.array(
-        *[
-            F.struct(F.lit(v.mask).alias("mask"), F.lit(v.strategy).alias("strategy"))
-            for v in variants
-        ]
-    )
     bars = _with_positions(
-        history.withColumn("_v", F.explode(chosen))
+        history.withColumn("_v", F.explode(variant_array(variants, "mask", "strategy")))
         .select("*", "_v.*")
         .drop("_v")
         .withColumn("start", F.lit(0).cast("long")),
@@ -498,16 +483,14 @@ def round_trips(active: DataFrame, variants: Sequence[Variant], costs: Costs) ->
         *KEY,
         F.last(F.when(F.col("_rn").isNotNull(), edge), True).over(carried(SERIES)).alias("_in"),
     )
-    names = F.array(
-        *[F.struct(F.lit(v.mask).alias("m"), F.lit(v.strategy).alias("s")) for v in variants]
-    )
+    names = variant_array(variants, "mask", "strategy")
     entry = F.coalesce(F.col("_entry"), F.col("_in"))
     return (
         local.where("leave")
         .join(carry, list(KEY))
         .select(
             "symbol",
-            F.filter(names, lambda v: v["m"] == F.col("mask"))[0]["s"].alias("strategy"),
+            F.filter(names, lambda v: v["mask"] == F.col("mask"))[0]["strategy"].alias("strategy"),
             "window",
             entry["ts"].alias("entry_ts"),
             F.col("ts").alias("exit_ts"),

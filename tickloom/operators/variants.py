@@ -48,23 +48,40 @@ def volume_mask(signals: Sequence[Signal]) -> int:
     return sum(1 << place for place, s in enumerate(signals) if s.requires_volume)
 
 
-def variant_array(variants: Sequence[Variant]) -> Column:
-    """The lattice as an array literal, for use inside one projection."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(v.mask).alias("mask"),
-                F.lit(place).alias("generation"),
-                F.lit(v.strategy).alias("strategy"),
-                F.array(*[F.lit(c) for c in v.components]).alias("components"),
-                F.lit(len(v.components)).alias("n_components"),
-                F.lit("single" if len(v.components) == 1 else "combo").alias("strategy_kind"),
-                F.lit(v.warmup).alias("warmup"),
-                F.lit(v.params).alias("params"),
-            )
-            for place, v in enumerate(variants)
-        ]
-    )
+VARIANT_FIELDS = {
+    "mask": "int",
+    "generation": "int",
+    "strategy": "string",
+    "components": "array<string>",
+    "n_components": "int",
+    "strategy_kind": "string",
+    "warmup": "int",
+    "params": "string",
+}
+
+
+def variant_array(variants: Sequence[Variant], *fields: str) -> Column:
+    """The lattice (or some fields of it) as one constant array, for use inside a projection.
+
+    One JSON literal keeps the plan small; it is folded to a constant before execution.
+    """
+    chosen = fields or tuple(VARIANT_FIELDS)
+    rows = [
+        {
+            "mask": v.mask,
+            "generation": place,
+            "strategy": v.strategy,
+            "components": v.components,
+            "n_components": len(v.components),
+            "strategy_kind": "single" if len(v.components) == 1 else "combo",
+            "warmup": v.warmup,
+            "params": v.params,
+        }
+        for place, v in enumerate(variants)
+    ]
+    text = json.dumps([{f: row[f] for f in chosen} for row in rows])
+    kinds = ",".join(f"{f}:{VARIANT_FIELDS[f]}" for f in chosen)
+    return F.from_json(F.lit(text), f"array<struct<{kinds}>>")
 
 
 def available_mask(signals: Sequence[Signal]) -> Column:

@@ -215,7 +215,7 @@ def _by_run(w: Warehouse, kept):
 
 METRICS = (
     "symbol:s strategy:s window:s bars:i total_return:d5 cagr:d5 buy_hold_return:d6 "
-    "max_drawdown:d6 sharpe:d6 n_trades:i win_rate:d6 exposure:d6"
+    "max_drawdown:d6 sharpe:d6 n_trades:i win_rate:d9 exposure:d9"
 )
 
 BARS125 = """
@@ -312,7 +312,7 @@ ENTRIES = [
     Entry("positions", "B16", "symbol:s strategy:s ts:t position:i",
           lambda w: w.single_curves,
           "SELECT symbol, strategy, ts, held::INT AS position FROM curve"),
-    Entry("equity_curve", "B17", "symbol:s strategy:s ts:t equity:d3", lambda w: w.single_curves,
+    Entry("equity_curve", "B17", "symbol:s strategy:s ts:t equity:d1", lambda w: w.single_curves,
           "SELECT symbol, strategy, ts, equity FROM curve"),
     Entry("buy_hold", "B19", "symbol:s strategy:s ts:t buy_hold_equity:d4",
           lambda w: w.single_curves, "SELECT symbol, strategy, ts, buy_hold_equity FROM curve"),
@@ -337,7 +337,8 @@ ENTRIES = [
              JOIN variant_list v ON v.mask = x.mask WHERE x.trade IS NOT NULL"""),
     Entry("windowed_metrics", "B15 B20 B21 B22 B23 A14", METRICS, lambda w: w.metrics,
           "SELECT * FROM met"),
-    Entry("wide_universe_metrics", "B15 B20 B21 B22 B23", METRICS, _wide, "SELECT * FROM met",
+    # Annualising a window of a few bars gives figures beyond any fixed number of digits.
+    Entry("wide_universe_metrics", "B15 B20 B21 B22 B23", METRICS.replace("cagr:d5 ", ""), _wide, "SELECT * FROM met",
           (("bars", BARS125), ("catalog", CATALOG125))),
     Entry("run_metrics", "B25 M11", RUN_COLUMNS, lambda w: assemble_runs(
         w.metrics, w.costs, F.lit(w.as_of)), "SELECT * FROM runs"),
