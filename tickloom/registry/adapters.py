@@ -318,7 +318,8 @@ class Warehouse:
 
     @cached_property
     def variant_mart(self) -> DataFrame:
-        return marts.combination_analysis(self.history, self.catalog)
+        """Written like any gold table, because many summaries read it."""
+        return materialise(marts.combination_analysis(self.history, self.catalog), "variants")
 
     @cached_property
     def fx_mart(self) -> DataFrame:

@@ -332,8 +332,8 @@ ENTRIES = [
           lambda w: w.fx_mart.withColumn("place", scalars.label_rank(F.col("window_label"))),
           """SELECT symbol, window_label, CASE window_label WHEN '30d' THEN 1 WHEN '90d' THEN 2
                     WHEN '365d' THEN 3 ELSE 4 END AS place FROM fx"""),
-    Entry("combination_analysis", "W8 J2 P13 P14 P15 M8", VARIANT, lambda w: w.variant_mart,
-          "SELECT * FROM variants"),
+    Entry("combination_analysis", "W8 J2 P13 P14 P15 M8", VARIANT,
+          lambda w: marts.combination_analysis(w.history, w.catalog), "SELECT * FROM variants"),
     Entry("leaderboard", "A5 A7 A9 A10 P21 K5 M9", BOARD,
           lambda w: measures.leaderboard_order(marts.strategy_leaderboard(w.variant_mart)),
           "SELECT * FROM board"),
