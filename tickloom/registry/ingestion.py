@@ -11,7 +11,7 @@ from tickloom.functions.series import largest_step
 from tickloom.plans import marts
 from tickloom.registry.adapters import PAIRS, Warehouse
 from tickloom.registry.spec import Entry
-from tickloom.session import shared_dir
+from tickloom.session import fresh_path
 from tickloom.sources import bronze, catalog, feeds, tables
 
 BAR = "symbol:s ts:t page:i open:d6 high:d6 low:d6 close:d6 volume:d6"
@@ -28,7 +28,7 @@ PAGES = """
 
 
 def _catalog_csv(w: Warehouse):
-    path = f"{shared_dir(w.spark)}/catalog-csv"
+    path = fresh_path(w.spark, "catalog-csv")
     w.catalog.select("symbol", "asset_class", "region", "name", "has_volume", "fx_pair").write.mode(
         "overwrite"
     ).csv(path, header=True)
@@ -138,12 +138,12 @@ def _fallback(w: Warehouse):
     """The variant mart is absent, so the plain runs are published."""
     from tickloom.sources.json_sinks import variant_entries
 
-    source = tables.first_available(w.spark, f"{shared_dir(w.spark)}/absent-mart", w.runs)
+    source = tables.first_available(w.spark, fresh_path(w.spark, "absent-mart"), w.runs)
     return variant_entries(source)
 
 
 def _rebuilt(w: Warehouse):
-    path = f"{shared_dir(w.spark)}/layer-indicators"
+    path = fresh_path(w.spark, "layer-indicators")
     layer = tables.rebuild(w.indicator_rows, path)
     return layer.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("bars"), F.count("sma_200").alias("with_sma_200")

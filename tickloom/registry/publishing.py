@@ -15,7 +15,7 @@ from tickloom.plans import marts, measures
 from tickloom.registry.adapters import Warehouse
 from tickloom.registry.analytics import _by_run
 from tickloom.registry.spec import Entry
-from tickloom.session import shared_dir
+from tickloom.session import fresh_path
 from tickloom.sources import json_sinks as sinks
 
 
@@ -108,7 +108,7 @@ def _document_fields(w: Warehouse) -> DataFrame:
 
 def _pruned_files(w: Warehouse) -> DataFrame:
     """Write every asset, then all but the currency; the stale folder must be gone."""
-    path = f"{shared_dir(w.spark)}/per-symbol"
+    path = fresh_path(w.spark, "per-symbol")
     docs = w.catalog.select("symbol", scalars.as_json("symbol", "region").alias("document"))
     sinks.write_symbols(docs, path)
     sinks.write_symbols(docs.where("symbol <> '5-LOW'"), path)

@@ -44,15 +44,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for written layers: the cluster's ``spark.checkpoint.dir``.
+    """Folder of this application under the cluster's ``spark.checkpoint.dir``.
 
     A machine-local folder is only acceptable when the whole application is one JVM, so it is
     created for ``local`` masters alone; a cluster without the setting is an error.
     """
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
+        return f"{named.rstrip('/')}/tickloom-{context.applicationId}"
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = os.path.join(tempfile.gettempdir(), f"tickloom-{context.applicationId}")
@@ -60,6 +60,11 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else writes to."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet layer in the shared folder and read it back.
 
@@ -67,6 +72,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     scans column pruning and filter pushdown.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
