@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickloom.llm import language_ftrl, toxicity_nb
 from tickloom.llm.common import table
 from tickloom.llm.mixture_packing import mixture_pack
 from tickloom.llm.url_globs import filter_urls
@@ -14,10 +15,20 @@ from tickloom.session import prepare
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return toxicity_nb.score_texts(docs, toxicity_nb.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_pack(table(prepare(spark), sf_dir, "documents")).drop("source")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return language_ftrl.predict(docs, language_ftrl.train(docs))
+
+
 def op8_url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(prepare(spark), sf_dir, "pages"))
 
