@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom.llm import language_ftrl, toxicity_nb
 from tickloom.llm.common import table
 from tickloom.llm.mixture_packing import mixture_pack
+from tickloom.llm.simhash_cover import near_duplicates
 from tickloom.llm.url_globs import filter_urls
 from tickloom.session import prepare
 
@@ -33,6 +34,10 @@ def op8_url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(prepare(spark), sf_dir, "pages"))
 
 
+def op10_simhash_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(prepare(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)
 }
