@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import language_ftrl, toxicity_nb
+from tickloom.llm import language_ftrl, secrets_markov, toxicity_nb
 from tickloom.llm.common import table
 from tickloom.llm.mixture_packing import mixture_pack
 from tickloom.llm.simhash_cover import near_duplicates
@@ -16,6 +16,11 @@ from tickloom.session import prepare
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secrets_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return secrets_markov.digest(secrets_markov.find_secrets(docs))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents")
     return toxicity_nb.score_texts(docs, toxicity_nb.train(docs, table(spark, sf_dir, "labels")))
