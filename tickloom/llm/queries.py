@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm import language_ftrl, secrets_markov, toxicity_nb
 from tickloom.llm.common import table
+from tickloom.llm.imatch import compare_edited
 from tickloom.llm.mixture_packing import mixture_pack
 from tickloom.llm.simhash_cover import near_duplicates
 from tickloom.llm.url_globs import filter_urls
@@ -35,6 +36,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_ftrl.predict(docs, language_ftrl.train(docs))
 
 
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edited(table(prepare(spark), sf_dir, "documents"))
+
+
 def op8_url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(prepare(spark), sf_dir, "pages"))
 
