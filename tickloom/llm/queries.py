@@ -12,6 +12,7 @@ from tickloom.llm.imatch import compare_edited
 from tickloom.llm.mixture_packing import mixture_pack
 from tickloom.llm.simhash_cover import near_duplicates
 from tickloom.llm.url_globs import filter_urls
+from tickloom.llm.winnowing import contamination
 from tickloom.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_ftrl.predict(docs, language_ftrl.train(docs))
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(prepare(spark), sf_dir, x) for x in ("documents", "benchmark"))
+    return contamination(docs, items).drop("text_hash")
+
+
 def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edited(table(prepare(spark), sf_dir, "documents"))
 
