@@ -11,6 +11,7 @@ from tickloom.llm.common import table
 from tickloom.llm.imatch import compare_edited
 from tickloom.llm.mixture_packing import mixture_pack
 from tickloom.llm.simhash_cover import near_duplicates
+from tickloom.llm.suffix_dedup import remove_repeats
 from tickloom.llm.url_globs import filter_urls
 from tickloom.llm.winnowing import contamination
 from tickloom.session import prepare
@@ -28,6 +29,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_nb.score_texts(docs, toxicity_nb.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(prepare(spark), sf_dir, "documents")).drop("spans", "kept")
+
+
 def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_pack(table(prepare(spark), sf_dir, "documents")).drop("source")
 
