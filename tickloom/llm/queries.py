@@ -12,6 +12,7 @@ from tickloom.llm.imatch import compare_edited
 from tickloom.llm.mixture_packing import mixture_pack
 from tickloom.llm.simhash_cover import near_duplicates
 from tickloom.llm.suffix_dedup import remove_repeats
+from tickloom.llm.token_packing import pack_tokens
 from tickloom.llm.url_globs import filter_urls
 from tickloom.llm.winnowing import contamination
 from tickloom.session import prepare
@@ -55,6 +56,10 @@ def op8_url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(prepare(spark), sf_dir, "pages"))
 
 
+def op9_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_tokens(table(prepare(spark), sf_dir, "documents"))
+
+
 def op10_simhash_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(prepare(spark), sf_dir, "documents"))
 
