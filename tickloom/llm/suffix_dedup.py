@@ -173,7 +173,9 @@ def repeated_windows(items: list[bytes], span: int) -> list[list[tuple[int, int]
     twice[before[again]] = 1
     out, at = [], 0
     for item in items:
-        marks = np.diff(twice[at : at + len(item)], prepend=0, append=0)
+        # starts nearer to the end would run into the next region
+        whole = max(len(item) - span + 1, 0)
+        marks = np.diff(twice[at : at + whole], prepend=0, append=0)
         out.append(
             list(
                 zip(
