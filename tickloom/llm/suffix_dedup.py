@@ -160,7 +160,8 @@ def _blocks(rows: DataFrame, size: int, s: Settings) -> DataFrame:
                     )
             yield _frame(out, 8)
 
-    return rows.mapInPandas(run, _BYTES)
+    ordered = [x.split()[0] for x in _BYTES.split(", ")]
+    return rows.select(*ordered).mapInPandas(run, _BYTES)
 
 
 def repeated_windows(items: list[bytes], span: int) -> list[list[tuple[int, int]]]:
