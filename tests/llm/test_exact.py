@@ -1,0 +1,275 @@
+"""Each operator with exact results against a plain version, on a whole table and on edge cases."""
+
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm import plain
+from tickloom.llm import queries, secrets_markov, simhash_cover, suffix_dedup, winnowing
+from tickloom.llm.imatch import compare_edited
+from tickloom.llm.mixture_packing import mixture_pack
+from tickloom.llm.tokens import Encoder
+from tickloom.llm.url_globs import filter_urls
+
+SHARED = " ".join(f"shared{i}" for i in range(60))
+#: Nulls, empty texts, ties, repeats under one id, other scripts and a long text.
+EDGES = [
+    (1, None), (2, ""), (3, "  \n"), (4, "a b"), (5, "A  B"), (6, SHARED), (7, SHARED),
+    (8, f"before {SHARED} after"), (9, "é" * 300 + " token = 'abcDEF123'"), (9, "é" * 300),
+    (10, "long " * 20_000), (11, "AKIA" + "A1" * 10 + " " + "0f" * 20), (None, "no id"),
+    (12, "Grüße 你好 мир " * 40), (13, "\x00 <|endoftext|> zero"), (14, "mixed\u2028line\x85end\x1cx"),
+]
+SCHEMA = "doc_id long, text string"
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    df = spark.createDataFrame(EDGES, SCHEMA)
+    for clash in ("fp", "h", "key", "n", "id", "start", "spans", "text_hash", "task", "row"):
+        df = df.withColumn(clash, F.lit("other").cast("string"))
+    return df.withColumn("source", F.lit(None).cast("string"))
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA + ", source string")
+
+
+def rows(df, *names):
+    return sorted((tuple(r) for r in df.select(*names).collect()), key=repr)
+
+
+def texts(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+@pytest.fixture(scope="module", params=["table", "edges"])
+def docs(request, spark, small_dir, edges):
+    return edges if request.param == "edges" else spark.read.parquet(f"{small_dir}/documents.parquet")
+
+
+def test_secrets(docs):
+    got = rows(
+        secrets_markov.digest(secrets_markov.find_secrets(docs)),
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256",
+    )
+    want = []
+    for doc_id, text in texts(docs):
+        found = plain.secrets(text)
+        n = [sum(k == kind for _, k, _ in found) for kind in range(3)]
+        joined = ",".join(f"{plain.PATTERNS[k][0]}:{a}:{b}" for a, k, b in found)
+        want.append((doc_id, *n, plain.sha(joined)))
+    assert got == sorted(want, key=repr)
+
+
+def test_random_strings_are_found_and_words_are_not(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    model = secrets_markov.train(secrets_markov.labelled_samples(docs))
+    key = "xK9vQz7Lw2TfB8mRj4HsN6dPc3Yg5Ua"
+    case = spark.createDataFrame(
+        [(1, f"see {key} here"), (2, "internationalization_of_responsibilities and more")], SCHEMA
+    )
+    found = {r.doc.doc_id: r.spans for r in secrets_markov.find_secrets(case, model).collect()}
+    assert [(s.start, s.end, s.value) for s in found[1]] == [(4, 4 + len(key), key)]
+    assert found[2] == []
+
+
+def test_redaction_keeps_everything_else(spark):
+    case = spark.createDataFrame(
+        [(1, "é token=abcdef123 end", 7), (2, "clean", 5), (3, None, None)], SCHEMA + ", n_chars int"
+    )
+    out = {r.doc_id: (r.text, r.n_chars) for r in secrets_markov.redacted(case).collect()}
+    assert out == {1: ("é [secret] end", 14), 2: ("clean", 5), 3: (None, None)}
+
+
+def check_repeats(docs, setting):
+    names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    got = rows(suffix_dedup.remove_repeats(docs, setting), *names)
+    pairs = texts(docs)
+    want = plain.without_repeats([t for _, t in pairs], setting.span)
+    assert got == sorted(((d, *w) for (d, _), w in zip(pairs, want, strict=True)), key=repr)
+
+
+def test_repeats(docs):
+    check_repeats(docs, suffix_dedup.Settings())
+
+
+def test_repeats_of_divided_groups(spark):
+    """One anchor with many different surroundings, groups split down to single windows."""
+    rng = random.Random(3)
+    core = "the one passage that all of them have"
+    near = [
+        "".join(rng.choices("ab ", k=rng.randint(0, 30))) + core + "".join(rng.choices("ab ", k=25))
+        for _ in range(60)
+    ]
+    docs = spark.createDataFrame(list(enumerate(near + near[:5])), SCHEMA)
+    tight = suffix_dedup.Settings(span=30, gram=8, shard_bytes=500, group_regions=2, blocks=(4, 1))
+    check_repeats(docs, tight)
+
+
+def test_contamination(docs, spark, small_dir):
+    items = spark.read.parquet(f"{small_dir}/benchmark.parquet").select(
+        F.col("item_id").cast("string").alias("item_id"), "text"
+    )
+    more = [("s1", "a b"), ("s1", "zero"), ("s2", ""), ("s3", None), ("s4", SHARED), (None, "no id")]
+    items = items.unionByName(spark.createDataFrame(more[:-1], "item_id string, text string"))
+    names = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    got = rows(winnowing.contamination(docs, items), *names)
+    pairs = texts(docs)
+    want = plain.contamination([t for _, t in pairs], [(r.item_id, r.text) for r in items.collect()])
+    assert got == sorted(((d, *w) for (d, _), w in zip(pairs, want, strict=True)), key=repr)
+
+
+def test_simhash(docs):
+    got = rows(simhash_cover.near_duplicates(docs), "doc_id", "fingerprint", "component_id")
+    pairs = texts(docs)
+    prints = [plain.simhash(t) for _, t in pairs]
+    big = 1 << 60
+    least = plain.components(prints, [big if d is None else d for d, _ in pairs])
+    want = [
+        (d, f"{p:016x}", None if c == big else c)
+        for (d, _), p, c in zip(pairs, prints, least, strict=True)
+    ]
+    assert got == sorted(want, key=repr)
+
+
+def test_large_buckets_are_divided_without_a_miss(spark):
+    """Fingerprints around a few centres, with buckets far above the bound."""
+    base = [0, (1 << 64) - 1, 0x0F0F0F0F0F0F0F0F]
+    near = {b ^ (1 << i) ^ (1 << j) for b in base for i in range(0, 64, 3) for j in range(0, 64, 5)}
+    bits = sorted(near)
+    signed = [b - (1 << 64) if b >> 63 else b for b in bits]
+    distinct = spark.createDataFrame([(x,) for x in signed], "fp long")
+    found = simhash_cover.components(simhash_cover.links(distinct, 3, 150)).collect()
+    root = dict(zip(signed, signed, strict=True)) | {r.node: r.root for r in found}
+    want = plain.components(bits, signed)
+    assert [root[x] for x in signed] == want
+
+
+def test_one_document_of_each_group_stays(docs):
+    out = simhash_cover.one_per_group(docs)
+    assert out.columns == docs.columns
+    ids = simhash_cover.near_duplicates(docs)
+    named = ids.filter("component_id IS NOT NULL").select("component_id").distinct()
+    got = [r.doc_id for r in out.collect() if r.doc_id is not None]
+    assert sorted(got) == sorted(r[0] for r in named.collect())
+
+
+def test_edited_texts(docs):
+    pairs = sorted(((d, t or "") for d, t in texts(docs)), key=lambda p: (p[0] is not None, p[0] or 0))
+    if len({d for d, _ in pairs}) < len(pairs):
+        docs, pairs = docs.dropDuplicates(["doc_id"]), None
+        pairs = sorted(((d, t or "") for d, t in texts(docs)), key=lambda p: (p[0] is not None, p[0] or 0))
+    if any(d is None for d, _ in pairs):
+        docs = docs.filter("doc_id IS NOT NULL")
+        pairs = pairs[1:]
+    out = compare_edited(docs).collect()
+    want = []
+    for i, (doc_id, text) in enumerate(pairs):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + pairs[(i + 1) % len(pairs)][1][:half]
+        want.append((doc_id, len(text), plain.sha(edited)))
+    assert sorted((r.doc_id, r.n_chars, r.edited_sha256) for r in out) == want
+    text = dict(pairs)
+    prints: dict[str, str] = {}
+    for r in out:
+        assert prints.setdefault(text[r.doc_id], r.fingerprint) == r.fingerprint
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+
+
+def check_pieces(pieces, pairs, window):
+    """Every id in exactly one piece, windows gapless and full but for the last."""
+    encoder = Encoder()
+    want: dict = {}
+    for doc_id, text in pairs:
+        ids = [*encoder.ids(text or "").tolist(), 0]
+        want.setdefault(doc_id, []).append(ids)
+    by_doc: dict = {}
+    for p in pieces:
+        by_doc.setdefault(p.doc_id, []).append(p)
+    assert set(by_doc) == set(want)
+    for doc_id, parts in by_doc.items():
+        got = sorted((p.start, p.length, p.ids_crc32, p.doc_tokens) for p in parts)
+        cut = []
+        for ids in want[doc_id]:
+            data = b"".join(x.to_bytes(4, "little") for x in ids)
+            lengths = [p for p in got if p[3] == len(ids)]
+            at = 0
+            for start, length, _, total in sorted(set(x[:2] + (0, x[3]) for x in lengths)):
+                assert start == at
+                cut.append((start, length, zlib.crc32(data[4 * start : 4 * (start + length)]), total))
+                at += length
+            assert at == len(ids)
+        assert sorted(cut) == got
+    windows: dict = {}
+    for p in pieces:
+        windows.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    fill = []
+    for k in range(len(windows)):
+        at = 0
+        for offset, length in sorted(windows[k]):
+            assert offset == at
+            at += length
+        fill.append(at)
+    assert all(f == window for f in fill[:-1]) and 0 < fill[-1] <= window
+
+
+def test_mixture_packing(docs):
+    check_pieces(mixture_pack(docs).collect(), texts(docs), 1024)
+
+
+def test_mixture_follows_its_weights(spark):
+    data = [(i, f"word {i} " * 300, "a" if i % 4 else "b") for i in range(200)]
+    docs = spark.createDataFrame(data, SCHEMA + ", source string")
+    out = mixture_pack(docs, {"a": 0.5, "b": 0.5}).collect()
+    first = [p for p in out if p.sequence_id < 40]
+    share = sum(p.length for p in first if p.source == "b") / sum(p.length for p in first)
+    assert abs(share - 0.5) < 0.02
+
+
+def test_url_rules(spark, small_dir):
+    rules = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
+             ("net/es/", "block"), ("net/fr/", "block")]
+    pages = spark.read.parquet(f"{small_dir}/pages.parquet").select("page_id", "url")
+    more = [(-1, None), (-2, ""), (-3, "no scheme"), (-4, "http://"), (-5, "HTTP://A.Example.COM/en/x?y"),
+            (-6, "x://www.example.com/en/"), (-7, "x://notexample.net/es/"), (-8, "x://com"), (-9, "a://b://c/d")]
+    pages = pages.unionByName(spark.createDataFrame(more, pages.schema))
+    got = {r.page_id: r for r in filter_urls(pages).collect()}
+    urls = pages.collect()
+    assert len(got) == len(urls)
+    for page_id, url in urls:
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        end = min([i for c in "/?#" if (i := rest.find(c)) >= 0], default=len(rest))
+        host, tail = rest[:end].translate(plain._LOWER), rest[end:]
+        path = tail[: min([i for c in "?#" if (i := tail.find(c)) >= 0], default=len(tail))]
+        fits = [
+            (len(rule), rule, verdict)
+            for rule, verdict in rules
+            if ("." + host).endswith("." + rule.split("/")[0]) and path.startswith("/" + rule.split("/", 1)[1])
+        ]
+        r = got[page_id]
+        assert (r.host, r.path, r.rule) == (host, path, max(fits)[1] if fits else None)
+        assert r.verdict == max(fits)[2] if fits else r.verdict in ("allow", "block")
+
+
+@pytest.mark.parametrize("run", [
+    lambda d: secrets_markov.digest(secrets_markov.find_secrets(d)), secrets_markov.redacted,
+    suffix_dedup.remove_repeats, simhash_cover.near_duplicates, simhash_cover.one_per_group,
+    compare_edited, mixture_pack,
+])
+def test_empty_table(empty, run):
+    assert run(empty).count() == 0
+
+
+def test_empty_tables_of_contamination(spark, empty):
+    items = spark.createDataFrame([], "item_id string, text string")
+    assert winnowing.contamination(empty, items).count() == 0
+    one = spark.createDataFrame([(1, "a b")], SCHEMA)
+    assert winnowing.contamination(one, items).first().n_items == 0
+
+
+def test_every_operator_has_one_query():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
+    assert numbers == list(range(1, 11))
