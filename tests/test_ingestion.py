@@ -21,7 +21,7 @@ def responses(spark, *items):
 
 def test_positional_candles(spark):
     page = [[T0, 1, 4, 2, 3, 10.5], [T0 + 86400, 2, 5, 3, 4, 0]]
-    rows = feeds.coinbase_bars(responses(spark, ("BTC-USD", 0, page))).orderBy("ts").collect()
+    rows = feeds.coinbase_bars(responses(spark, ("BTC-USD", 0, page)))[0].orderBy("ts").collect()
     assert [(r.open, r.high, r.low, r.close, r.volume) for r in rows] == [
         (2, 4, 1, 3, 10.5), (3, 5, 2, 4, 0)]
     assert rows[0].ts == DAY and json.loads(rows[0].payload)["time"] == T0
@@ -46,14 +46,55 @@ def test_dated_feeds(spark):
                "volume": 9, "adjClose": 1.9}]
     fx = [{"date": "2024-01-02T00:00:00.000Z", "ticker": "usdcop", "open": 1, "high": 3, "low": 1,
            "close": 2}]
-    row = feeds.equity_bars(responses(spark, ("SPY", 0, equity))).first()
+    row = feeds.equity_bars(responses(spark, ("SPY", 0, equity)))[0].first()
     assert row.ts == dt.datetime(2024, 1, 2) and row.volume == 9
-    assert feeds.fx_bars(responses(spark, ("USDCOP", 0, fx))).first().volume is None
+    assert feeds.fx_bars(responses(spark, ("USDCOP", 0, fx)))[0].first().volume is None
     mapped, unknown = feeds.map_symbols(
         spark.createDataFrame([("BTC-USD",), ("SPY",)], "symbol string"))
     assert mapped.first().pair == "XBTUSD" and unknown.first().symbol == "SPY"
 
 
+def texts(spark, *items):
+    return spark.createDataFrame(
+        [("A", i, x) for i, x in enumerate(items)], "symbol string, page int, response string")
+
+
+def reasons(rejects):
+    return [(r.page, r.reason) for r in rejects.orderBy("page", "reason").collect()]
+
+
+def test_no_candle_vanishes_and_none_stops_the_others(spark):
+    good = "[1704067200,1,4,2,3,null]"
+    bars, rejects = feeds.coinbase_bars(texts(
+        spark, f"[{good}]", '{"message":"rate limit"}', None, f"[{good},[17040", "[]", "null",
+        f"[[1704067200],{good}]", f'[["soon",1,4,2,3,5],[1e300,1,4,2,3,5],{good}]',
+        f'[[1704067200,"low",4,2,3,5],null,{good}]'))
+    assert sorted(r.page for r in bars.collect()) == [0, 6, 7, 8]
+    assert bars.where("volume is not null").count() == 0
+    assert reasons(rejects) == [
+        (1, "no candle list"), (2, "no candle list"), (3, "no candle list"), (5, "no candle list"),
+        (6, "incomplete candle"), (7, "unreadable time"), (7, "unreadable time"),
+        (8, "incomplete candle"), (8, "unreadable number")]
+    audit = bronze.rejected_rows(rejects, F.lit(DAY)).collect()
+    assert {(r.error, r.rows_fetched) for r in audit} == {
+        ("no candle list", 4), ("incomplete candle", 2), ("unreadable time", 2),
+        ("unreadable number", 1)}
+
+
+def test_dated_rows_keep_their_own_text(spark):
+    item = ('{"date":"2024-01-02T00:00:00.000Z","open":"1.5","high":3,"low":null,"close":2,'
+            '"volume":123456789012,"venue":{"id":7}}')
+    late = item.replace("2024-01-02T00:00:00.000Z", "soon")
+    page = f'[{item},{late},{{"message":"x"}},{item.replace("3,", chr(34) + "high" + chr(34) + ",")}]'
+    for parse in (feeds.equity_bars, feeds.fx_bars):
+        bars, rejects = parse(texts(spark, page, '{"message":"rate limit"}', page[:-9], "[]"))
+        row, = bars.collect()
+        assert (row.payload, row.open, row.low, row.close) == (item, 1.5, None, 2)
+        assert reasons(rejects) == [
+            (0, "incomplete candle"), (0, "unreadable number"), (0, "unreadable time"),
+            (1, "no candle list"), (2, "no candle list")]
+
+
 def test_pages_are_closed_and_disjoint(spark):
     spans = spark.createDataFrame(
         [("A", DAY, DAY + dt.timedelta(days=700)), ("B", DAY, DAY),
@@ -68,7 +109,7 @@ def test_pages_are_closed_and_disjoint(spark):
 def test_later_page_wins_inside_the_window(spark):
     first = [[T0, 1, 1, 1, 1, 1], [T0 + 86400, 1, 1, 1, 1, 1]]
     second = [[T0 + 86400, 1, 1, 1, 2, 1], [T0 + 2 * 86400, 1, 1, 1, 3, 1]]
-    bars = feeds.coinbase_bars(responses(spark, ("A", 0, first), ("A", 1, second)))
+    bars, _ = feeds.coinbase_bars(responses(spark, ("A", 0, first), ("A", 1, second)))
     rows = feeds.clip_window(bars, F.lit(DAY), F.lit(DAY + dt.timedelta(days=1))).orderBy("ts")
     assert [r.close for r in rows.collect()] == [1, 2]
 
@@ -177,17 +218,23 @@ def test_replicate_skips_surrogates(spark):
 
 
 def test_file_arrivals_are_ingested_once(spark, tmp_path):
-    landing, store, mark = (str(tmp_path / n) for n in ("landing", "bronze", "mark"))
+    landing, store, mark, audit = (
+        str(tmp_path / n) for n in ("landing", "bronze", "mark", "audit"))
     page = json.dumps([[T0, 1, 1, 1, 1, 1], [T0 + 86400, 1, 1, 1, 1, 1]])
 
     def arrive(n):
-        spark.createDataFrame([("BTC-USD", n, page)], "symbol string, page int, response string"
+        spark.createDataFrame([("BTC-USD", n, page), ("BTC-USD", n, '{"message":"busy"}')],
+                              "symbol string, page int, response string"
                               ).coalesce(1).write.mode("append").json(landing)
-        ingest_new_files(spark, landing, store, mark, feeds.coinbase_bars).awaitTermination(60)
+        ingest_new_files(
+            spark, landing, store, mark, feeds.coinbase_bars, audit).awaitTermination(60)
 
     arrive(0)
     arrive(1)
     assert spark.read.parquet(store).count() == 2
+    rows = spark.read.parquet(audit).collect()
+    assert sorted((r.batch, r.rows_fetched, r.rows_inserted, r.status) for r in rows) == [
+        (0, 1, 0, "failed"), (1, 1, 0, "failed")]
 
 
 def test_runs_are_appended_with_curves_of_singles_only(spark, tmp_path):
@@ -209,4 +256,4 @@ def test_feed_files_are_read_with_a_fixed_schema(spark, tmp_path):
     path = str(tmp_path / "responses")
     spark.createDataFrame([("A", 0, page)], "symbol string, page int, response string"
                           ).write.json(path)
-    assert feeds.coinbase_bars(feeds.read_responses(spark, path)).count() == 1
+    assert feeds.coinbase_bars(feeds.read_responses(spark, path))[0].count() == 1

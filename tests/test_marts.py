@@ -174,7 +174,7 @@ def test_row_rules_and_constraints(spark):
     assert q.blocking(q.unique(keyed, "t", ["k", "v"], q.WARN)).isEmpty()
 
 
-def test_index_falls_back_to_the_top(spark, catalog):
+def test_index_is_whole_at_every_budget(spark, catalog):
     many = [run(f"{i}", 0, "+".join(f"s{j}" for j in range(5) if i >> j & 1), "A",
                 oos=(i / 100, 0.0, 1) if i % 4 else None) for i in range(1, 32)]
     entries = sinks.variant_entries(marts.combination_analysis(runs(spark, *many), catalog))
@@ -182,17 +182,17 @@ def test_index_falls_back_to_the_top(spark, catalog):
         catalog, *[spark.createDataFrame([], "symbol string, x int") for _ in range(3)])
     head = sinks.headline(runs(spark, *many))
     stamp = F.lit(DAY0)
-    mode, docs = sinks.budgeted_index(overview, head, entries, stamp)
+    docs = sinks.index_documents(overview, head, sinks.grouped_entries(entries), stamp)
+    wide, narrow = (sinks.index_size_report(docs, n).first() for n in (10**6, 10))
+    assert (wide.severity, narrow.severity) == ("ok", "warn")
+    assert wide.index_bytes == narrow.index_bytes > 10
     docs = {r.symbol: json.loads(r.document) for r in docs.collect()}
-    assert mode == "full" and len(docs) == 3
+    assert len(docs) == 3
     assert len(docs["A"]["combinations"]) == docs["A"]["n_combinations"] == 31
     assert docs["C"]["summary"] is None and docs["C"]["combinations"] == []
     assert docs["A"]["generated_at"] == "2020-01-01T00:00:00+00:00"
-    mode, short = sinks.budgeted_index(overview, head, entries, stamp, budget=10)
-    short = {r.symbol: json.loads(r.document) for r in short.collect()}
-    assert mode == "top_n" and short["A"]["n_combinations"] == 31
-    assert [e["oos_excess_return"] for e in short["A"]["combinations"]] == [
-        0.31, 0.3, 0.29, 0.27, 0.26]
+    best = sinks.top_variants(entries, 5).orderBy("place").collect()
+    assert [e.oos_excess_return for e in best] == [0.31, 0.3, 0.29, 0.27, 0.26]
 
 
 def test_entries_from_runs_have_no_trade_guard(spark):

@@ -14,7 +14,9 @@ CHOSEN = (
     "coinbase_parse", "kraken_rejects", "bronze_dedup_append", "watermark_window", "indicators",
     "source_priority_dedup", "data_quality", "fx_decomposition", "signals_macd", "trades",
     "windowed_metrics", "combination_analysis", "leaderboard", "overfitting_summary",
-    "downsample_curve", "expectation_report", "index_documents",
+    "downsample_curve", "expectation_report", "index_documents", "kraken_parse", "equity_parse",
+    "fx_parse", "feed_rejects", "raw_payload_roundtrip", "page_overlap_clip", "recent_ingest",
+    "index_budget", "symbol_documents", "symbol_curves", "topn_per_asset", "optional_relation",
 )
 
 

@@ -381,10 +381,10 @@ def totals(bronze: DataFrame, runs: DataFrame) -> DataFrame:
     return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
-def recent_attempts(audit: DataFrame, limit: int = 40) -> DataFrame:
+def recent_attempts(audit: DataFrame, limit: int) -> DataFrame:
     """Most recent ingest attempts; a sort with a limit keeps ``limit`` rows per partition."""
     return (
-        audit.orderBy(F.col("started_at").desc(), "source", "symbol")
+        audit.orderBy(F.col("started_at").desc(), "source", "symbol", "ingest_run_id")
         .limit(limit)
         .select("source", "symbol", "status", "rows_fetched", "rows_inserted", "finished_at")
     )

@@ -122,11 +122,59 @@ def _page_windows(w: Warehouse):
 
 
 def _clipped(w: Warehouse):
-    bars = feeds.coinbase_bars(w.responses("coinbase"))
+    bars, _ = feeds.coinbase_bars(w.responses("coinbase"))
     day = dt.datetime
     return feeds.clip_window(bars, F.lit(day(1996, 1, 1)), F.lit(day(2000, 12, 31)))
 
 
+PARSERS = {
+    "coinbase": feeds.coinbase_bars,
+    "kraken": feeds.kraken_bars,
+    "equity": feeds.equity_bars,
+    "fx": feeds.fx_bars,
+}
+
+
+def _damaged(w: Warehouse, kind: str):
+    """An error object, a cut-off text and a bad first candle in three of five pages."""
+    bad = F.lit('{"date":"soon","open":1,"high":1,"low":1,"close":1}' if kind != "coinbase" else "[1]")
+    text, turn = F.col("response"), F.col("page") % 5
+    damaged = (
+        F.when(turn == 0, F.lit('{"message":"rate limit"}'))
+        .when(turn == 1, F.substring(text, F.lit(1), F.length(text) - 2))
+        .when(turn == 2, F.concat(F.lit("["), bad, F.lit(","), F.substring(text, F.lit(2), F.length(text))))
+        .otherwise(text)
+    )
+    # pages of the second venue already hold errors and missing lists
+    pages = w.responses(kind)
+    return pages if kind == "kraken" else pages.withColumn("response", damaged)
+
+
+def _feed_rejects(w: Warehouse):
+    parts = [parse(_damaged(w, kind)) for kind, parse in PARSERS.items()]
+    kept = None
+    for bars, rejects in parts:
+        part = (
+            bars.select("source", "symbol", "page", F.lit(None).cast("string").alias("reason"))
+            .unionByName(rejects.select("source", "symbol", "page", "reason"))
+            .groupBy("source", "symbol", "page", "reason").agg(F.count(F.lit(1)).alias("n"))
+        )
+        kept = part if kept is None else kept.unionByName(part)
+    return kept
+
+
+def _raw_payload(w: Warehouse):
+    """Equity rows with a field the parser does not know and prices written as text."""
+    text = F.regexp_replace("response", r'"open":([^,]+)', r'"open":"$1","venue":"x"')
+    bars, _ = feeds.equity_bars(w.responses("equity").withColumn("response", text))
+    return bars.withColumns(
+        {
+            "venue": F.get_json_object("payload", "$.venue"),
+            "payload_open": F.get_json_object("payload", "$.open"),
+        }
+    )
+
+
 def _outcomes(w: Warehouse):
     """The whole stream, and the part whose credentials were accepted."""
     everything = bronze.run_outcome(w.audit).withColumn("part", F.lit("all"))
@@ -162,7 +210,7 @@ def _weekdays(w: Warehouse):
 
 
 ENTRIES = [
-    Entry("coinbase_parse", "S1", BAR, lambda w: feeds.coinbase_bars(w.responses("coinbase")),
+    Entry("coinbase_parse", "S1", BAR, lambda w: feeds.coinbase_bars(w.responses("coinbase"))[0],
           f"SELECT * FROM {PAGES}"),
     Entry("kraken_parse", "S2", BAR, lambda w: feeds.kraken_bars(w.responses("kraken"))[0],
           f"SELECT * FROM {PAGES} WHERE page % 5 > 1"),
@@ -170,10 +218,22 @@ ENTRIES = [
           lambda w: feeds.kraken_bars(w.responses("kraken"))[1],
           f"""SELECT DISTINCT symbol, page, CASE page % 5 WHEN 0 THEN 'venue error: EGeneral:Busy'
               ELSE 'no candle list' END AS reason FROM {PAGES} WHERE page % 5 < 2"""),
-    Entry("equity_parse", "S3", BAR, lambda w: feeds.equity_bars(w.responses("equity")),
+    Entry("equity_parse", "S3", BAR, lambda w: feeds.equity_bars(w.responses("equity"))[0],
           f"SELECT * FROM {PAGES}"),
-    Entry("fx_parse", "S4", BAR, lambda w: feeds.fx_bars(w.responses("fx")),
+    Entry("fx_parse", "S4", BAR, lambda w: feeds.fx_bars(w.responses("fx"))[0],
           f"SELECT * REPLACE (NULL AS volume) FROM {PAGES}"),
+    Entry("feed_rejects", "S1 S2 S3 S4", "source:s symbol:s page:i reason:s n:i", _feed_rejects,
+          f"""WITH pages AS (SELECT symbol, page, count(*) AS n FROM {PAGES} GROUP BY 1, 2),
+              feeds(source, short) AS (VALUES ('coinbase', 'incomplete candle'),
+                  ('tiingo', 'unreadable time'), ('tiingo_fx', 'unreadable time'))
+              SELECT source, symbol, page, CASE WHEN page % 5 < 2 THEN 'no candle list' END
+                  AS reason, CASE WHEN page % 5 < 2 THEN 1 ELSE n END AS n FROM pages, feeds
+              UNION ALL SELECT source, symbol, page, short, 1 FROM pages, feeds WHERE page % 5 = 2
+              UNION ALL SELECT 'kraken', symbol, page, CASE page % 5
+                  WHEN 0 THEN 'venue error: EGeneral:Busy' WHEN 1 THEN 'no candle list' END,
+                  CASE WHEN page % 5 < 2 THEN 1 ELSE n END FROM pages"""),
+    Entry("raw_payload_roundtrip", "S3", "symbol:s ts:t page:i open:d6 payload_open:d6 venue:s",
+          _raw_payload, f"SELECT *, open AS payload_open, 'x' AS venue FROM {PAGES}"),
     Entry("venue_pairs", "S5", "symbol:s ts:t pair:s ticker:s",
           lambda w: feeds.map_symbols(w.bars, PAIRS)[0].withColumn(
               "ticker", feeds.fx_ticker(F.col("symbol"))),
@@ -292,6 +352,6 @@ ENTRIES = [
                AND (asset_class = 'crypto' OR isodow(lo + to_days(i::INT)) < 6)"""),
     Entry("recent_ingest", "K1",
           "source:s symbol:s status:s rows_fetched:i rows_inserted:i finished_at:t",
-          lambda w: marts.recent_attempts(w.audit),
-          "SELECT * FROM audit ORDER BY started_at DESC, source, symbol LIMIT 40"),
+          lambda w: marts.recent_attempts(w.audit, 40),
+          "SELECT * FROM audit ORDER BY started_at DESC, source, symbol, ingest_run_id LIMIT 40"),
 ]

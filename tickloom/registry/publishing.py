@@ -15,7 +15,7 @@ from tickloom.plans import marts, measures
 from tickloom.registry.adapters import Warehouse
 from tickloom.registry.analytics import _by_run
 from tickloom.registry.spec import Entry
-from tickloom.session import fresh_path
+from tickloom.session import fresh_path, materialise
 from tickloom.sources import json_sinks as sinks
 
 
@@ -67,30 +67,36 @@ def _index(w: Warehouse) -> DataFrame:
 
 
 def _budget(w: Warehouse) -> DataFrame:
-    """The index under the standing budget and under one it cannot meet."""
+    """The same whole index under the standing budget and under one it cannot meet."""
     overview = sinks.asset_overview(
         w.catalog, _summary(w), _quality(w), marts.reconciliation_rollup(w.reconciliation)
     )
-    strategies = sinks.headline(marts.latest_runs(w.history))
-    parts = []
-    for budget in (sinks.INDEX_BYTE_BUDGET, 1_000):
-        mode, docs = sinks.budgeted_index(
-            overview, strategies, _entries(w), F.lit(w.as_of), budget=budget
-        )
-        parts.append(docs.select(
-            F.lit(budget).alias("budget"),
-            F.lit(mode).alias("mode"),
-            "symbol",
-            F.json_array_length(F.get_json_object("document", "$.combinations")).alias("listed"),
-            F.get_json_object("document", "$.n_combinations").alias("n_combinations"),
-        ))
-    return _union(*parts)
+    docs = sinks.index_documents(
+        overview,
+        sinks.headline(marts.latest_runs(w.history)),
+        sinks.grouped_entries(_entries(w)),
+        F.lit(w.as_of),
+    )
+    docs = materialise(docs, "index")
+    return _union(
+        *[sinks.index_size_report(docs, b) for b in (sinks.INDEX_BYTE_BUDGET, 1_000)]
+    )
 
 
 def _documents(w: Warehouse) -> DataFrame:
     latest = marts.latest_runs(w.history)
-    thinned = sinks.thin_curves(w.numbered_curves)
-    return sinks.symbol_documents(w.catalog, latest, thinned, _entries(w), F.lit(w.as_of))
+    return sinks.symbol_documents(
+        w.catalog, latest, w.numbered_curves, _entries(w), F.lit(w.as_of)
+    )
+
+
+def _curves(w: Warehouse) -> DataFrame:
+    path = fresh_path(w.spark, "curves")
+    sinks.write_curves(w.numbered_curves, path)
+    return w.spark.read.parquet(path).groupBy("symbol", "strategy").agg(
+        F.count(F.lit(1)).alias("points"), F.min("ts").alias("first_ts"),
+        F.max("ts").alias("last_ts"),
+    )
 
 
 def _document_fields(w: Warehouse) -> DataFrame:
@@ -100,7 +106,7 @@ def _document_fields(w: Warehouse) -> DataFrame:
         F.get_json_object(d, "$.split_ts").alias("split_ts"),
         F.json_array_length(F.get_json_object(d, "$.backtests")).alias("n_backtests"),
         F.json_array_length(F.get_json_object(d, "$.combinations")).alias("n_combinations"),
-        F.json_array_length(F.get_json_object(d, "$.backtests[0].equity_curve")).alias("points"),
+        F.get_json_object(d, "$.backtests[0].curve_points").alias("points"),
         F.get_json_object(d, "$.backtests[0].metrics.n_bars").alias("n_bars"),
         F.get_json_object(d, "$.backtests[0].metrics.total_return").alias("total_return"),
     )
@@ -368,7 +374,7 @@ ENTRIES = [
           """SELECT symbol, ts, round_even(kraken_close, 2) AS price,
                     round_even(abs_pct_diff, 4) AS gap FROM recon"""),
     Entry("topn_per_asset", "K2", "symbol:s place:i strategy:s n_components:i",
-          lambda w: sinks.top_variants(_entries(w)),
+          lambda w: sinks.top_variants(_entries(w), 5),
           f"SELECT * FROM ({RANKED_SQL}) WHERE place <= 5"),
     Entry("grouped_variants", "A15 A18", "symbol:s n_combinations:i names:a",
           lambda w: sinks.grouped_entries(_entries(w)).withColumn(
@@ -390,18 +396,21 @@ ENTRIES = [
              LEFT JOIN (SELECT symbol, count(*) AS n, count_if(n_components = 1) AS singles,
                                min(strategy) FILTER (n_components = 1) AS first_variant
                         FROM variants GROUP BY 1) v ON v.symbol = c.symbol AND c.region <> 'us'"""),
-    Entry("index_budget", "K3", "budget:i mode:s symbol:s listed:i n_combinations:i", _budget,
-          """SELECT budget, mode, symbol, CASE mode WHEN 'full' THEN n ELSE 5 END AS listed,
-                    n AS n_combinations
+    Entry("index_budget", "K3", "budget:i severity:s documents:i listed:i", _budget,
+          """SELECT budget, severity, count(*) AS documents, sum(n) AS listed
              FROM (SELECT symbol, count(*) AS n FROM lat GROUP BY 1),
-                  (VALUES (600000, 'full'), (1000, 'top_n')) t(budget, mode)"""),
+                  (VALUES (600000, 'ok'), (1000, 'warn')) t(budget, severity) GROUP BY 1, 2"""),
+    Entry("symbol_curves", "S15", "symbol:s strategy:s points:i first_ts:t last_ts:t", _curves,
+          """SELECT r.symbol, r.strategy, count(*) AS points, min(b.ts) AS first_ts,
+                    max(b.ts) AS last_ts FROM runs r JOIN bars b ON b.symbol = r.symbol
+             WHERE r.n_components = 1 GROUP BY 1, 2"""),
     Entry("symbol_documents", "S15 A17 P24",
           "symbol:s split_ts:s n_backtests:i n_combinations:i points:i n_bars:i total_return:d4",
           _document_fields,
           """SELECT r.symbol, strftime(first(split_ts ORDER BY strategy), '%Y-%m-%dT%H:%M:%S')
                         || '+00:00' AS split_ts,
                     count_if(n_components = 1) AS n_backtests, count(*) AS n_combinations,
-                    least(400, max(n_bars)) AS points, max(n_bars) AS n_bars,
+                    max(n_bars) AS points, max(n_bars) AS n_bars,
                     first(total_return ORDER BY n_components, strategy) AS total_return
              FROM runs r GROUP BY 1"""),
     Entry("stale_file_pruning", "S16", "symbol:s region:s", _pruned_files,

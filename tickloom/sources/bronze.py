@@ -118,6 +118,21 @@ def audit_rows(
     )
 
 
+def rejected_rows(rejects: DataFrame, finished_at: Column) -> DataFrame:
+    """Failed audit rows, one per key and reason: what was read and not inserted, and why."""
+    return (
+        rejects.groupBy("source", "symbol", "granularity", "reason")
+        .agg(F.count(F.lit(1)).alias("rows_fetched"))
+        .select(
+            "source", "symbol", "granularity", "rows_fetched",
+            F.lit(0).cast("long").alias("rows_inserted"),
+            F.lit("failed").alias("status"),
+            mask_secrets(F.col("reason")).alias("error"),
+            finished_at.alias("finished_at"),
+        )
+    )
+
+
 def run_outcome(attempts: DataFrame) -> DataFrame:
     """Classify attempts and decide whether the run may publish.
 

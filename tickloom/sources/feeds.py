@@ -1,7 +1,9 @@
 """Recorded feed responses -> labelled bars.
 
 Input is a table of responses (``symbol``, ``page``, ``response`` JSON text), one row per fetched
-page. Parsing is a map over rows; only overlap removal groups, and it combines map-side.
+page. Parsing is a map over rows; only overlap removal groups, and it combines map-side. Each feed
+returns two frames: bars, and rejects with a reason, so that no response or candle vanishes and a
+bad one never stops the others. A price that is JSON null stays NULL; later layers flag it.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalars import mask_secrets
+
 # Field order of the array-shaped candles of the two crypto venues.
 COINBASE_FIELDS = ("time", "low", "high", "open", "close", "volume")
 KRAKEN_FIELDS = ("time", "open", "high", "low", "close", "vwap", "volume", "count")
@@ -20,90 +24,142 @@ KRAKEN_PAIRS = {"BTC-USD": "XBTUSD", "ETH-USD": "ETHUSD"}
 COINBASE_PAGE_DAYS = 300
 
 PRICES = ("open", "high", "low", "close")
-EQUITY_ROW = (
-    "array<struct<date:string,open:double,high:double,low:double,close:double,volume:double,"
-    "adjOpen:double,adjHigh:double,adjLow:double,adjClose:double,adjVolume:double,"
-    "divCash:double,splitFactor:double>>"
-)
-FX_ROW = "array<struct<date:string,ticker:string,open:double,high:double,low:double,close:double>>"
-
-
-def _typed(row: Column, fields: tuple[str, ...], numbers_as_text: bool) -> list[Column]:
-    """Label a positional candle; text numbers stay text in the payload."""
-    made = []
-    for place, name in enumerate(fields):
-        cell = row[place]
-        if name in ("time", "count"):
-            cell = cell.cast("double").cast("long")
-        elif not numbers_as_text:
-            cell = cell.cast("double")
-        made.append(cell.alias(name))
-    return made
-
-
-def _bars(df: DataFrame, source: str) -> DataFrame:
-    c = F.col("_c")
-    return df.select(
-        F.lit(source).alias("source"),
-        "symbol",
-        F.lit("1d").alias("granularity"),
-        F.timestamp_seconds(c["time"]).alias("ts"),
-        *[c[p].cast("double").alias(p) for p in (*PRICES, "volume")],
-        F.to_json(c).alias("payload"),
-        "page",
+CANDLE_LIST = "array<string>"
+REJECT_COLUMNS = ("source", "symbol", "granularity", "page", "reason", "raw")
+#: Fixed value: last second of the year 9999; larger times are no times.
+LAST_SECOND = 253_402_300_799
+
+
+def _split(opened: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
+    """Elements of ``_list`` as raw text ``_x``, and the responses that hold no list.
+
+    An empty list is an answer without candles, not a reject. ``reason`` may already name a cause.
+    """
+    marked = opened.withColumns({"source": F.lit(source), "granularity": F.lit("1d")})
+    unread = F.col("_list").isNull() | F.col("reason").isNotNull()
+    rejects = marked.where(unread).select(
+        "source", "symbol", "granularity", "page",
+        F.coalesce("reason", F.lit("no candle list")).alias("reason"),
+        mask_secrets(F.col("response")).alias("raw"),
+    )
+    items = marked.where(~unread).select(
+        "source", "symbol", "granularity", "page", F.explode("_list").alias("_x")
     )
+    return items, rejects
+
+
+def _finish(
+    items: DataFrame, rejects: DataFrame, reason: Column, bar: list[Column]
+) -> tuple[DataFrame, DataFrame]:
+    """Bars of the elements without a ``reason``; the others join the rejects."""
+    judged = items.withColumn("reason", reason)
+    bars = judged.where("reason is null").select("source", "symbol", "granularity", *bar, "page")
+    bad = judged.where("reason is not null").withColumn("raw", mask_secrets(F.col("_x")))
+    return bars, rejects.unionByName(bad.select(*REJECT_COLUMNS))
 
 
-def coinbase_bars(responses: DataFrame) -> DataFrame:
-    rows = responses.withColumn(
-        "_r", F.explode(F.from_json("response", "array<array<string>>"))
+def _unreadable(cells: Mapping[str, Column]) -> Column:
+    """A cell that holds something, but no number."""
+    bad = F.lit(False)
+    for cell in cells.values():
+        bad = bad | (cell.isNotNull() & cell.try_cast("double").isNull())
+    return bad
+
+
+def _positional(
+    opened: DataFrame, source: str, fields: tuple[str, ...], numbers_as_text: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Label array-shaped candles; text numbers stay text in the payload."""
+    items, rejects = _split(opened, source)
+    items = items.withColumn("_r", F.from_json("_x", CANDLE_LIST))
+    cells = {name: F.get("_r", F.lit(place)) for place, name in enumerate(fields)}
+    whole = {c: cells[c].try_cast("double").try_cast("long") for c in ("time", "count") if c in cells}
+    labelled = F.struct(
+        *[
+            whole.get(
+                name, cell if numbers_as_text else cell.try_cast("double")
+            ).alias(name)
+            for name, cell in cells.items()
+        ]
+    )
+    reason = (
+        F.when(F.col("_r").isNull() | (F.size("_r") < len(fields)), "incomplete candle")
+        .when(whole["time"].isNull() | (F.abs(whole["time"]) > LAST_SECOND), "unreadable time")
+        .when(_unreadable(cells), "unreadable number")
     )
-    return _bars(
-        rows.withColumn("_c", F.struct(*_typed(F.col("_r"), COINBASE_FIELDS, False))), "coinbase"
+    return _finish(
+        items, rejects, reason,
+        [
+            F.timestamp_seconds(whole["time"]).alias("ts"),
+            *[cells[p].try_cast("double").alias(p) for p in (*PRICES, "volume")],
+            F.to_json(labelled).alias("payload"),
+        ],
+    )
+
+
+def _listed(responses: DataFrame) -> DataFrame:
+    return responses.withColumns(
+        {"_list": F.from_json("response", CANDLE_LIST), "reason": F.lit(None).cast("string")}
     )
 
 
+def coinbase_bars(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bars and rejects (REJECT_COLUMNS); the same holds for every feed below."""
+    return _positional(_listed(responses), "coinbase", COINBASE_FIELDS, False)
+
+
 def kraken_bars(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Bars, and the responses that cannot be read (venue error, or no candle list)."""
+    """Bars, and what cannot be read: a venue error, no candle list, or a bad candle."""
     envelope = F.from_json("response", "struct<error:array<string>,result:map<string,string>>")
     opened = responses.withColumn("_e", envelope)
     lists = F.map_filter(F.col("_e.result"), lambda k, _: k != "last")
-    opened = opened.withColumn("_list", F.get(F.map_values(lists), F.lit(0)))
     failed = F.size(F.coalesce(F.col("_e.error"), F.array().cast("array<string>"))) > 0
-    reason = F.when(failed, F.concat(F.lit("venue error: "), F.array_join("_e.error", ","))).when(
-        F.col("_list").isNull(), F.lit("no candle list")
-    )
-    opened = opened.withColumn("reason", reason)
-    rows = opened.where("reason is null").withColumn(
-        "_r", F.explode(F.from_json("_list", "array<array<string>>"))
-    )
-    bars = _bars(
-        rows.withColumn("_c", F.struct(*_typed(F.col("_r"), KRAKEN_FIELDS, True))), "kraken"
+    opened = opened.withColumns(
+        {
+            "_list": F.from_json(F.get(F.map_values(lists), F.lit(0)), CANDLE_LIST),
+            "reason": F.when(
+                failed, F.concat(F.lit("venue error: "), F.array_join("_e.error", ","))
+            ),
+        }
     )
-    return bars, opened.where("reason is not null").select("symbol", "page", "reason")
-
-
-def _dated(responses: DataFrame, schema: str, source: str, volume: Column) -> DataFrame:
-    c = F.col("_c")
-    return responses.withColumn("_c", F.explode(F.from_json("response", schema))).select(
-        F.lit(source).alias("source"),
-        "symbol",
-        F.lit("1d").alias("granularity"),
-        F.to_timestamp(c["date"]).alias("ts"),
-        *[c[p].alias(p) for p in PRICES],
-        volume.alias("volume"),
-        F.to_json(c).alias("payload"),
-        "page",
+    return _positional(opened, "kraken", KRAKEN_FIELDS, True)
+
+
+def _dated(
+    responses: DataFrame, source: str, numbers: tuple[str, ...]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with a ``date``; the payload is the element's own text, unknown fields included."""
+    items, rejects = _split(_listed(responses), source)
+    items = items.withColumn("_m", F.from_json("_x", "map<string,string>"))
+    cells = {c: F.try_element_at("_m", F.lit(c)) for c in numbers}
+    ts = F.try_to_timestamp(F.try_element_at("_m", F.lit("date")))
+    lacking = F.lit(False)
+    for c in PRICES:
+        lacking = lacking | ~F.map_contains_key("_m", c)
+    reason = (
+        F.when(F.col("_m").isNull() | lacking, "incomplete candle")
+        .when(ts.isNull(), "unreadable time")
+        .when(_unreadable(cells), "unreadable number")
     )
+    volume = cells["volume"].try_cast("double") if "volume" in cells else F.lit(None).cast("double")
+    return _finish(
+        items, rejects, reason,
+        [
+            ts.alias("ts"),
+            *[cells[p].try_cast("double").alias(p) for p in PRICES],
+            volume.alias("volume"),
+            F.col("_x").alias("payload"),
+        ],
+    )
 
 
-def equity_bars(responses: DataFrame) -> DataFrame:
-    return _dated(responses, EQUITY_ROW, "tiingo", F.col("_c.volume"))
+def equity_bars(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return _dated(responses, "tiingo", (*PRICES, "volume"))
 
 
-def fx_bars(responses: DataFrame) -> DataFrame:
+def fx_bars(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """FX rows carry no volume key; volume is NULL, never zero."""
-    return _dated(responses, FX_ROW, "tiingo_fx", F.lit(None).cast("double"))
+    return _dated(responses, "tiingo_fx", PRICES)
 
 
 def map_symbols(

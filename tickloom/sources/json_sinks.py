@@ -1,4 +1,4 @@
-"""JSON publishing: one document per asset, an index within a byte budget, stale-file pruning."""
+"""JSON publishing: one document per asset, an index with a size report, whole curves as a table."""
 
 from __future__ import annotations
 
@@ -8,10 +8,8 @@ from pyspark.sql import functions as F
 from tickloom.functions.scalars import as_json, first_of, half_even
 from tickloom.functions.series import evenly_spaced
 
-# Index size limit in bytes, variants kept per asset beyond it, curve points kept.
+# Fixed value: index size in bytes above which the size report warns.
 INDEX_BYTE_BUDGET = 600_000
-INDEX_TOP_VARIANTS = 5
-CURVE_MAX_POINTS = 400
 
 ENTRY_RATIOS = (
     "exposure", "total_return", "buy_hold_return", "excess_return", "is_excess_return",
@@ -63,7 +61,7 @@ def variant_entries(rows: DataFrame) -> DataFrame:
     )
 
 
-def top_variants(entries: DataFrame, limit: int = INDEX_TOP_VARIANTS) -> DataFrame:
+def top_variants(entries: DataFrame, limit: int) -> DataFrame:
     """Best ``limit`` variants per asset by out-of-sample excess; unscored ones come last."""
     w = Window.partitionBy("symbol").orderBy(
         F.col("oos_excess_return").desc_nulls_last(), "n_components", "strategy"
@@ -141,41 +139,23 @@ def index_documents(
     )
 
 
-def index_bytes(documents: DataFrame) -> DataFrame:
-    """Size of the index: one distributed sum."""
-    return documents.agg(
-        F.coalesce(F.sum(F.octet_length("document")), F.lit(0)).alias("index_bytes")
-    )
-
-
-def budgeted_index(
-    overview: DataFrame,
-    strategies: DataFrame,
-    entries: DataFrame,
-    generated_at: Column,
-    *,
-    budget: int = INDEX_BYTE_BUDGET,
-    limit: int = INDEX_TOP_VARIANTS,
-) -> tuple[str, DataFrame]:
-    """Full index when it fits the budget, else the top variants per asset.
+def index_size_report(documents: DataFrame, budget: int = INDEX_BYTE_BUDGET) -> DataFrame:
+    """index_bytes, documents, listed (variants), budget and severity (``warn`` above the budget).
 
-    ``n_combinations`` stays the number evaluated. Only the one-row size comes to the driver.
+    One distributed sum; the index itself is the same at every size.
     """
-    grouped = grouped_entries(entries)
-    full = index_documents(overview, strategies, grouped, generated_at)
-    if index_bytes(full).first()["index_bytes"] <= budget:
-        return "full", full
-    best = top_variants(entries, limit)
-    item = F.struct(F.col("place").alias("_p"), F.struct(*ENTRY_FIELDS).alias("entry"))
-    trimmed = best.groupBy("symbol").agg(F.array_sort(F.collect_list(item)).alias("_items"))
-    short = grouped.drop("combinations").join(
-        trimmed.select("symbol", F.transform("_items", lambda x: x["entry"]).alias("combinations")),
-        "symbol",
+    variants = F.json_array_length(F.get_json_object("document", "$.combinations"))
+    sized = documents.agg(
+        F.coalesce(F.sum(F.octet_length("document")), F.lit(0)).alias("index_bytes"),
+        F.count(F.lit(1)).alias("documents"),
+        F.coalesce(F.sum(variants), F.lit(0)).alias("listed"),
+    ).withColumn("budget", F.lit(budget))
+    return sized.withColumn(
+        "severity", F.when(F.col("index_bytes") > F.col("budget"), "warn").otherwise("ok")
     )
-    return "top_n", index_documents(overview, strategies, short, generated_at)
 
 
-def thin_curves(curves: DataFrame, limit: int = CURVE_MAX_POINTS) -> DataFrame:
+def thin_curves(curves: DataFrame, limit: int) -> DataFrame:
     """Keep at most ``limit`` evenly spaced points per curve; needs ``rn`` and ``n``."""
     return curves.where(evenly_spaced(F.col("rn"), F.col("n"), limit)).withColumns(
         {c: half_even(F.col(c), 2) for c in ("equity", "buy_hold_equity")}
@@ -194,16 +174,14 @@ def split_boundary(runs: DataFrame) -> DataFrame:
 def symbol_documents(
     catalog: DataFrame,
     runs: DataFrame,
-    thinned: DataFrame,
+    curves: DataFrame,
     entries: DataFrame,
     generated_at: Column,
 ) -> DataFrame:
-    """One full-detail document per asset with runs; curves are thinned before they are grouped."""
-    point = F.struct(F.to_date("ts").cast("string").alias("day"), "equity", "buy_hold_equity")
-    curves = thinned.groupBy("symbol", "strategy").agg(
-        F.array_sort(F.collect_list(point)).alias("equity_curve")
-    )
-    singles = runs.where("strategy_kind = 'single'").join(curves, ["symbol", "strategy"], "left")
+    """One full-detail document per asset with runs. Curves are counted here, not embedded: they
+    grow with the history and are written whole by ``write_curves``."""
+    counted = curves.groupBy("symbol", "strategy").agg(F.count(F.lit(1)).alias("curve_points"))
+    singles = runs.where("strategy_kind = 'single'").join(counted, ["symbol", "strategy"], "left")
     metrics = F.struct(
         "total_return", "cagr", "buy_hold_return", "max_drawdown", "sharpe", "win_rate",
         (F.col("total_return") - F.col("buy_hold_return")).alias("excess_return"),
@@ -213,7 +191,7 @@ def symbol_documents(
         "strategy",
         "params",
         metrics.alias("metrics"),
-        F.coalesce("equity_curve", F.array()).alias("equity_curve"),
+        F.coalesce("curve_points", F.lit(0)).alias("curve_points"),
     )
     tests = singles.groupBy("symbol").agg(F.array_sort(F.collect_list(item)).alias("backtests"))
     return (
@@ -237,6 +215,16 @@ def write_index(documents: DataFrame, path: str) -> None:
     documents.select(F.col("document").alias("value")).write.mode("overwrite").text(path)
 
 
+def write_curves(curves: DataFrame, path: str) -> None:
+    """Every point of every curve, one folder per symbol, files by year of a strategy."""
+    curves.select(
+        "symbol", "strategy", "ts",
+        *[half_even(F.col(c), 2).alias(c) for c in ("equity", "buy_hold_equity")],
+    ).repartition("symbol", "strategy", F.year("ts")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy("symbol").parquet(path)
+
+
 def write_symbols(documents: DataFrame, path: str) -> None:
     """One partition folder per symbol; a full overwrite drops symbols no longer written."""
     documents.select("symbol", F.col("document").alias("value")).write.mode("overwrite").option(

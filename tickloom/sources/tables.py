@@ -27,10 +27,17 @@ def read_optional(spark: SparkSession, path: str, schema: StructType | str) -> D
 
 
 def first_available(spark: SparkSession, path: str, fallback: DataFrame) -> DataFrame:
-    """The table at ``path`` when it exists and has the run grain, else ``fallback``."""
-    found = read_optional(spark, path, fallback.schema)
-    usable = {"symbol", "strategy"} <= set(found.columns) and not found.isEmpty()
-    return found if usable else fallback
+    """The table at ``path`` when it exists and has the run grain, else ``fallback``.
+
+    An existing empty table is used as it is; the choice never depends on its rows.
+    """
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return fallback
+    return found if {"symbol", "strategy"} <= set(found.columns) else fallback
 
 
 def run_curves(curves: DataFrame, runs: DataFrame) -> DataFrame:
