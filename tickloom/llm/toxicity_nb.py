@@ -8,6 +8,10 @@ with the smoothing split in proportion to the class sizes, so an n-gram never se
 classifier is a logistic regression on the features times r: evidence that the counts show strongly
 is cheap to weigh, noise is expensive. N-grams with a small ratio or few texts carry no weight.
 
+The scores are then shifted so that ``threshold`` is the cut that serves best on a fifth of the
+training rows, scored by a model of the other four: of the cuts there, the one with the highest
+F-measure in which precision weighs ``tune_precision`` times as much as recall.
+
 Counting and featurising run as Spark tasks. Training is bounded by ``train_rows`` labelled rows;
 what reaches the driver is one table of 2 ** bits counts and the selected features of those rows.
 """
@@ -39,6 +43,12 @@ class Settings:
     steps: int = 400
     #: A text is rejected from this score on.
     threshold: float = 0.7
+    #: One in so many training rows places the cut; it stays within these log-odds, and fewer toxic
+    #: rows than this leave it at the threshold.
+    tune: int = 5
+    tune_odds: float = 2.5
+    tune_toxic: int = 20
+    tune_precision: int = 4
 
 
 @dataclass
@@ -55,40 +65,77 @@ class Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """text and y of the bounded sample, outside the held-out fold."""
+    """text, y and tune (1 on the rows that place the cut), outside the held-out fold."""
     chosen = (
         labels.select(
             F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("y"),
             fold("doc_id", 3).alias("fold"),
+            (F.pmod(F.xxhash64("doc_id", F.lit("tune")), F.lit(settings.tune)) == 0)
+            .cast("int").alias("tune"),
         )
         .filter("fold <> 1 AND y IN (0, 1) AND label_id IS NOT NULL")
         .orderBy(F.xxhash64("label_id"), "label_id", "y")
         .limit(settings.train_rows)
     )
-    # at most train_rows rows of two numbers
+    # at most train_rows rows of four numbers
     return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select(
-        whole_text().alias("text"), "y"
+        whole_text().alias("text"), "y", chosen["tune"].alias("tune")
     )
 
 
 def _counts(rows: DataFrame, settings: Settings) -> pd.DataFrame:
-    """Texts with each n-gram, by class; id -1 counts the texts themselves."""
+    """Texts with each n-gram, by class, of all rows and without those that place the cut.
+
+    id -1 counts the texts themselves.
+    """
+    names = ("others", "toxic", "others_fit", "toxic_fit")
 
     def count(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         distinct = Distinct(settings.bits)
-        sums = np.zeros((2, (1 << settings.bits) + 1), np.int64)
+        sums = np.zeros((4, (1 << settings.bits) + 1), np.int64)
         for frame in frames:
-            for text, y in frame.itertuples(index=False):
-                sums[y, distinct(ngram_ids(text, settings.sizes, settings.bits))] += 1
-                sums[y, -1] += 1
-        seen = np.flatnonzero(sums.any(axis=0))
+            for text, y, tune in frame[["text", "y", "tune"]].itertuples(index=False):
+                own = sums[y + 2 - 2 * tune]
+                own[distinct(ngram_ids(text, settings.sizes, settings.bits))] += 1
+                own[-1] += 1
+        sums[:2] += sums[2:]
+        seen = np.flatnonzero(sums[:2].any(axis=0))
         ids = np.where(seen == 1 << settings.bits, -1, seen)
-        yield pd.DataFrame({"id": ids, "others": sums[0, seen], "toxic": sums[1, seen]})
+        yield pd.DataFrame({"id": ids} | dict(zip(names, sums[:, seen], strict=True)))
+
+    counted = rows.mapInPandas(count, "id long, " + ", ".join(f"{n} long" for n in names))
+    return counted.groupBy("id").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
 
-    counted = rows.mapInPandas(count, "id long, others long, toxic long")
-    return counted.groupBy("id").agg(
-        F.sum("others").alias("others"), F.sum("toxic").alias("toxic")
-    ).toPandas()
+
+def _ratios(counts: pd.DataFrame, s: Settings, part: str = "") -> np.ndarray:
+    """Log-count ratio by id; 0 where it is too small or the n-gram too rare. Both classes exist."""
+    total, grams = counts[counts["id"] < 0], counts[counts["id"] >= 0]
+    others, toxic = (int(total[name + part].sum()) for name in ("others", "toxic"))
+    seen_others, seen_toxic = (grams[name + part].to_numpy() for name in ("others", "toxic"))
+    n = others + toxic
+    r = np.log((seen_toxic + s.smoothing * toxic / n) / toxic) - np.log(
+        (seen_others + s.smoothing * others / n) / others
+    )
+    use = (seen_toxic + seen_others >= s.least_texts) & (np.abs(r) >= s.least_ratio)
+    out = np.zeros(1 << s.bits)
+    out[grams["id"].to_numpy()[use]] = r[use]
+    return out
+
+
+def _cut(z: np.ndarray, y: np.ndarray, s: Settings) -> float:
+    """The log-odds from which a text should be rejected."""
+    usual = float(np.log(s.threshold / (1 - s.threshold)))
+    if (y == 1).sum() < s.tune_toxic:
+        return usual
+    down = np.argsort(-z, kind="stable")
+    z, hits = z[down], np.cumsum(y[down])
+    taken = np.arange(1, len(z) + 1)
+    b2 = s.tune_precision**-2
+    f = (1 + b2) * hits / (b2 * hits[-1] + taken)
+    last = np.append(z[1:] < z[:-1], True)  # equal scores fall on one side
+    best = int(np.argmax(np.where(last, f, -1.0)))
+    middle = z[best] if best + 1 == len(z) else (z[best] + z[best + 1]) / 2
+    return float(np.clip(middle, -s.tune_odds, s.tune_odds))
 
 
 def _fit(groups: list[np.ndarray], y: np.ndarray, r: np.ndarray, s: Settings):
@@ -125,16 +172,11 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     if not others or not toxic:
         share = (toxic + 1) / (others + toxic + 2)
         return Model(settings, float(np.log(share / (1 - share))))
-    counts = counts[counts["id"] >= 0]
-    n = others + toxic
-    p = (counts["toxic"] + settings.smoothing * toxic / n) / toxic
-    q = (counts["others"] + settings.smoothing * others / n) / others
-    r = np.log(p / q).to_numpy()
-    many = (counts["toxic"] + counts["others"]).to_numpy() >= settings.least_texts
-    use = many & (np.abs(r) >= settings.least_ratio)
-    ids, r = counts["id"].to_numpy()[use], r[use]
-    by_id = np.argsort(ids)
-    ids, r = ids[by_id], r[by_id]
+    fits = total[["others_fit", "toxic_fit"]].to_numpy().all()
+    r = _ratios(counts, settings)
+    r_fit = _ratios(counts, settings, "_fit") if fits else r
+    ids = np.flatnonzero((r != 0) | (r_fit != 0))
+    r, r_fit = r[ids], r_fit[ids]
     place = np.full(1 << settings.bits, -1, np.int32)
     place[ids] = np.arange(len(ids))
 
@@ -145,12 +187,20 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
             for text in frame["text"]:
                 at = place[distinct(ngram_ids(text, settings.sizes, settings.bits))]
                 kept.append(at[at >= 0])
-            yield pd.DataFrame({"y": frame["y"], "at": kept})
+            yield pd.DataFrame({"y": frame["y"], "tune": frame["tune"], "at": kept})
 
-    sample = rows.mapInPandas(select, "y int, at array<int>").toPandas()
+    sample = rows.mapInPandas(select, "y int, tune int, at array<int>").toPandas()
     groups = [np.asarray(a, np.int64) for a in sample["at"]]
-    weights, bias = _fit(groups, sample["y"].to_numpy(float), r, settings)
-    return Model(settings, bias, ids, weights)
+    y, tune = sample["y"].to_numpy(float), sample["tune"].to_numpy() == 1
+    shift = 0.0
+    if fits and tune.any():
+        learn = [g for g, t in zip(groups, tune, strict=True) if not t]
+        weights, bias = _fit(learn, y[~tune], r_fit, settings)
+        z = np.array([weights[g].sum() + bias for g, t in zip(groups, tune, strict=True) if t])
+        usual = np.log(settings.threshold / (1 - settings.threshold))
+        shift = float(usual - _cut(z, y[tune], settings))
+    weights, bias = _fit(groups, y, r, settings)
+    return Model(settings, bias + shift, ids, weights)
 
 
 def scorer(model: Model) -> Callable[[Column], Column]:
