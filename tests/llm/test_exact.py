@@ -273,3 +273,25 @@ def test_empty_tables_of_contamination(spark, empty):
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
     assert numbers == list(range(1, 11))
+
+
+def test_near_copies_in_a_third_of_the_rows(spark):
+    """The shared terms are above the band: copies one word apart and edited forms stay alike."""
+    rng = random.Random(11)
+    vocabulary = [f"{rng.getrandbits(40):x}" for _ in range(3_000)]
+    boilerplate = rng.sample(vocabulary, 120)
+    data = []
+    for i in range(300):
+        if i % 3:
+            words = [w for w in rng.choices(vocabulary, k=120)]
+        else:
+            words = list(boilerplate)
+            words[rng.randrange(120)] = f"stray{i % 15}"
+        data.append((i, " ".join(words)))
+    # two copies side by side
+    data += [(1_000, " ".join(boilerplate)), (1_001, " ".join([*boilerplate[:-1], "stray0"]))]
+    out = {r.doc_id: r for r in compare_edited(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert out[1_000].near_next > 0.8
+    copies = [out[i] for i in range(0, 297, 3)]
+    assert all(r.near_edited > r.near_next for r in copies)
+    assert min(r.near_edited for r in copies) > 0.05

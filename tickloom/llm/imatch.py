@@ -7,6 +7,11 @@ bound. Terms are first counted in hash buckets; only terms of buckets that reach
 counted one by one. A document's distinct lexicon terms, in lexicon order, are hashed once per
 randomised subset of the lexicon. Two documents that differ in a few terms agree on the subsets
 that leave those terms out, and the share of equal hashes is their likeness.
+
+A text most of whose terms lie outside the band (near copies that make up a large part of the rows,
+a rare language, very short texts) would be judged by stray words, so each fingerprint has a second
+family: the same subsets over all distinct terms. Whether the band family is filled depends on the
+text alone; two texts that both have it are compared by it, all others by the second.
 """
 
 from __future__ import annotations
@@ -30,6 +35,9 @@ class Settings:
     #: ``parts``, of which the first ``used`` count. Small parts serve long texts, large ones short.
     levels: tuple[tuple[int, int, int], ...] = ((20, 8, 8), (28, 64, 64), (40, 512, 32))
     bucket_bits: int = 18
+    #: The band speaks for a text from so many terms and this share of its distinct terms on.
+    least_terms: int = 8
+    least_share: float = 0.125
 
     @property
     def subsets(self) -> int:
@@ -71,44 +79,85 @@ def lexicon(docs: DataFrame, settings: Settings = Settings()) -> list[int]:
     return sorted(r[0] for r in counted.select("term").collect())
 
 
+def _by_subset(found: Column, settings: Settings) -> Column:
+    """One hash for each subset; large levels are dealt in two steps, which saves most tests."""
+
+    def dealt(of: Column, shift: int, parts: int) -> list[Column]:
+        def part(k: int) -> Column:
+            return F.filter(
+                of, lambda t: F.shiftrightunsigned(t, shift).bitwiseAND(F.lit(parts - 1)) == k
+            )
+
+        return [part(k) for k in range(parts)]
+
+    def level(shift: int, parts: int, used: int) -> Column:
+        fine = min(parts, 8)
+
+        def hashes(of: Column) -> Column:
+            return F.array(*[F.hash(x) for x in dealt(of, shift, fine)])
+
+        if parts == fine:
+            return F.slice(hashes(found), 1, used)
+        first = F.filter(
+            found, lambda t: F.shiftrightunsigned(t, shift).bitwiseAND(F.lit(parts - 1)) < used
+        )
+        coarse = F.transform(
+            F.array(first),
+            lambda f: F.array(*dealt(f, shift + 3, parts // fine)[: -(-used // fine)]),
+        )
+        return F.slice(F.flatten(F.transform(F.element_at(coarse, 1), hashes)), 1, used)
+
+    return F.concat(*[level(*x) for x in settings.levels])
+
+
 def fingerprint(text: Column, terms: list[int], settings: Settings = Settings()) -> Column:
-    """One hash for each lexicon subset, as an array of longs; ``EMPTY`` where no term falls in.
+    """One hash for each subset of the band, then one for each subset of all terms, as integers.
 
-    A text without lexicon terms has the hash of itself in every place.
+    ``EMPTY`` stands where no term falls in, and in the whole first family of a text for which the
+    band does not speak. A text without any term has the hash of itself in the second family.
     """
     lexicon_terms = F.lit(terms) if terms else F.array().cast("array<bigint>")
-    used = F.array_intersect(lexicon_terms, term_hashes(text))
+    own = F.sort_array(F.array_distinct(term_hashes(text)))
+    in_band = F.transform(
+        F.array(own),
+        lambda t: F.struct(t.alias("all"), F.array_intersect(lexicon_terms, t).alias("band")),
+    )
 
-    def subset(found: Column, shift: int, parts: int, k: int) -> Column:
-        bits = F.shiftrightunsigned
-        return F.xxhash64(
-            F.filter(found, lambda t: bits(t, shift).bitwiseAND(F.lit(parts - 1)) == k)
+    def families(found: Column) -> Column:
+        enough = F.size(found["band"]) >= F.greatest(
+            F.lit(float(settings.least_terms)), settings.least_share * F.size(found["all"])
         )
-
-    def hashes(found: Column) -> Column:
-        whole = F.array_repeat(F.xxhash64(text), settings.subsets)
-        by_subset = F.array(
-            *[
-                subset(found, shift, parts, k)
-                for shift, parts, used_parts in settings.levels
-                for k in range(used_parts)
-            ]
+        no_band = F.array_repeat(F.lit(EMPTY), settings.subsets)
+        whole = F.array_repeat(F.hash(text), settings.subsets)
+        return F.concat(
+            F.when(enough, _by_subset(found["band"], settings)).otherwise(no_band),
+            F.when(F.size(found["all"]) == 0, whole).otherwise(_by_subset(found["all"], settings)),
         )
-        return F.when(F.size(found) == 0, whole).otherwise(by_subset)
 
-    return F.element_at(F.transform(F.array(used), hashes), 1)
+    return F.element_at(F.transform(in_band, families), 1)
 
 
 def written(parts: Column) -> Column:
     """A fingerprint as text: eight hex digits for each subset."""
-    return F.array_join(
-        F.transform(parts, lambda p: F.substring(F.lpad(F.lower(F.hex(p)), 16, "0"), 9, 8)), ":"
-    )
+    digits = lambda p: F.lpad(F.lower(F.hex(p.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")
+    return F.array_join(F.transform(parts, digits), ":")
+
 
+def likeness(a: Column, b: Column, settings: Settings = Settings()) -> Column:
+    """Share of equal hashes among the subsets in which either text has a term.
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of equal hashes among the subsets in which either text has a term."""
-    both = F.zip_with(a, b, lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    The subsets of the band if both texts have terms there, else those of all terms.
+    """
+    n = settings.subsets
+
+    def banded(x: Column) -> Column:
+        return F.exists(F.slice(x, 1, n), lambda p: p != EMPTY)
+
+    start = F.when(banded(a) & banded(b), F.lit(1)).otherwise(F.lit(n + 1))
+    both = F.zip_with(
+        F.slice(a, start, n), F.slice(b, start, n),
+        lambda x, y: F.struct(x.alias("x"), y.alias("y")),
+    )
     filled = F.filter(both, lambda p: (p["x"] != EMPTY) | (p["y"] != EMPTY))
     return F.element_at(
         F.transform(
@@ -155,8 +204,8 @@ def compare_edited(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     next document in ascending order of doc_id (the first document follows the last). Columns:
     doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    A null text is empty; a text with few lexicon terms is its own fingerprint, so equal texts are
-    alike and others are not. A null id comes first in the order. Rows that share an id are edited
+    A null text is empty; a text without any term is its own fingerprint, so such texts are alike if
+    equal. A null id comes first in the order. Rows that share an id are edited
     each by itself and count as one neighbour (the longest length, the least text). Other columns
     are ignored; an empty table gives no rows; a single document follows itself.
     """
@@ -183,6 +232,6 @@ def compare_edited(docs: DataFrame, settings: Settings = Settings()) -> DataFram
         F.sha2("edited", 256).alias("edited_sha256"),
         written(F.col("parts")).alias("fingerprint"),
         written(F.col("edited_parts")).alias("edited_fingerprint"),
-        likeness(F.col("parts"), F.col("edited_parts")).alias("near_edited"),
-        likeness(F.col("parts"), F.col("next_parts")).alias("near_next"),
+        likeness(F.col("parts"), F.col("edited_parts"), settings).alias("near_edited"),
+        likeness(F.col("parts"), F.col("next_parts"), settings).alias("near_next"),
     )
