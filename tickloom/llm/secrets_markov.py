@@ -3,7 +3,7 @@
 One model is trained on random strings, the other on ordinary identifiers, both as smoothed bigram
 frequencies of labelled samples. Every long run of key characters outside the patterns' matches is
 scored by the sum over its bigrams of log P(random) - log P(ordinary); runs above a threshold are
-spans of kind ``random``. Everything is DataFrame code: the ratios of the two models (a fixed number
+spans of kind ``random``, and in the other runs the stretches that reach it, widened to whole tokens. Everything is DataFrame code: the ratios of the two models (a fixed number
 of character pairs) become one literal array, and a text is scanned where it lies.
 """
 
@@ -231,13 +231,102 @@ def ratio(value: Column, model: list[float]) -> Column:
     )
 
 
+def stretches(value: Column, model: list[float], settings: Settings) -> Column:
+    """start, end of the stretches of a string of key characters that are random by themselves.
+
+    One walk adds up the ratios less the least mean. A stretch ends where the sum is used up or has
+    fallen by the threshold since its peak, and reaches to the peak, so its mean is never too small.
+    It is widened to the separators around it and counts from ``least_run`` characters on.
+    """
+    table, places = F.lit(model), "array<struct<start:int,end:int>>"
+    codes = F.transform(
+        F.sequence(F.lit(1), F.length(value)),
+        lambda i: F.instr(F.lit(KEY_CHARS), F.substring(value, i, 1)),
+    )
+
+    def state(last, at, now, start, best, end, out) -> Column:
+        named = {"last": last, "at": at, "now": now, "start": start, "best": best, "end": end, "out": out}
+        return F.struct(*[c.alias(k) for k, c in named.items()])
+
+    def closed(acc: Column) -> Column:
+        total = acc["best"] + settings.mean * (acc["end"] - acc["start"] - 1)
+        found = F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end")))
+        return F.when(
+            (acc["best"] > 0) & (total >= settings.threshold), F.concat(acc["out"], found)
+        ).otherwise(acc["out"])
+
+    def step(acc: Column, code: Column) -> Column:
+        ratio_here = F.when(acc["last"] == 0, F.lit(0.0)).otherwise(
+            F.element_at(table, (acc["last"] - 1) * len(KEY_CHARS) + code) - settings.mean
+        )
+
+        def moved(now: Column) -> Column:
+            over = (now <= 0) | (now < acc["best"] - settings.threshold)
+            peak = now > acc["best"]
+            return F.when(
+                over,
+                state(code, acc["at"] + 1, F.lit(0.0), acc["at"], F.lit(0.0), acc["at"], closed(acc)),
+            ).otherwise(
+                state(
+                    code, acc["at"] + 1, now, acc["start"],
+                    F.when(peak, now).otherwise(acc["best"]),
+                    F.when(peak, acc["at"] + 1).otherwise(acc["end"]), acc["out"],
+                )
+            )
+
+        return _let(acc["now"] + ratio_here, moved)
+
+    zero = F.lit(0)
+    found = F.aggregate(
+        codes,
+        state(zero, zero, F.lit(0.0), zero, F.lit(0.0), zero, F.array().cast(places)),
+        step,
+        closed,
+    )
+
+    def widened(x: Column) -> Column:
+        left = F.regexp_extract(F.substring(value, F.lit(1), x["start"]), r"[^/.=_-]*$", 0)
+        right = F.regexp_extract(F.substring(value, x["end"] + 1, F.length(value)), r"^[^/.=_-]*", 0)
+        return F.struct(
+            (x["start"] - F.length(left)).alias("start"), (x["end"] + F.length(right)).alias("end")
+        )
+
+    return F.filter(
+        F.array_distinct(F.transform(found, widened)),
+        lambda x: x["end"] - x["start"] >= settings.least_run,
+    )
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with the spans (by start) as blanks, so that places stay."""
+    return F.when(F.size(spans) == 0, text).otherwise(
+        F.aggregate(
+            spans,
+            F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
+            lambda acc, x: F.struct(
+                F.concat(
+                    acc["out"],
+                    F.substring(text, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0))),
+                    F.repeat(
+                        F.lit(" "),
+                        F.greatest(x["end"] - F.greatest(acc["at"], x["start"]), F.lit(0)),
+                    ),
+                ).alias("out"),
+                F.greatest(acc["at"], x["end"]).alias("at"),
+            ),
+            lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
+        )
+    )
+
+
 def find_secrets(
     docs: DataFrame, model: list[float] | None = None, settings: Settings = Settings()
 ) -> DataFrame:
     """All columns of ``docs`` under ``doc``, and ``spans``: start, kind, end, value.
 
     Kinds are places in KINDS. Spans of the patterns are kept as they are, those of different kinds
-    may overlap; a scored run that overlaps one of them is left out. Null and empty texts have no
+    may overlap; runs are scored where they lie outside of them. A run that is not random as a whole is
+    searched for random stretches. Null and empty texts have no
     spans; every row is scanned by itself, so repeated rows, ties and null ids need no rule. Without
     ``model`` one is trained on ``labelled_samples(docs)``.
     """
@@ -245,16 +334,25 @@ def find_secrets(
         model = train(labelled_samples(docs, settings))
     text = F.coalesce(F.col("doc.text").cast("string"), F.lit(""))
     base = docs.select(F.struct("*").alias("doc")).withColumn("base", base_spans(text))
-    runs = positions(text, f"{_RUN}{{{settings.least_run},}}")
+    base = base.withColumn("blanked", _blanked(text, F.col("base")))
+    runs = positions(F.col("blanked"), f"{_RUN}{{{settings.least_run},}}")
 
-    def is_random(x: Column) -> Column:
-        clear = ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+    def random_parts(x: Column) -> Column:
         least = F.greatest(
             F.lit(settings.threshold), F.lit(settings.mean) * (F.length(x["value"]) - 1)
         )
-        return clear & (ratio(x["value"], model) >= least)
+        inside = F.transform(
+            stretches(x["value"], model, settings),
+            lambda p: F.struct(
+                (x["start"] + p["start"]).alias("start"),
+                (x["start"] + p["end"]).alias("end"),
+                F.substring(x["value"], p["start"] + 1, p["end"] - p["start"]).alias("value"),
+            ),
+        )
+        return F.when(ratio(x["value"], model) >= least, F.array(x)).otherwise(inside)
 
-    return base.withColumn("random", _named(F.filter(runs, is_random), 3)).select(
+    parts = F.flatten(F.transform(runs, random_parts))
+    return base.withColumn("random", _named(parts, 3)).select(
         "doc", F.sort_array(F.concat("base", "random")).alias("spans")
     )
 
