@@ -113,3 +113,12 @@ def test_pipeline_stages(spark, small_dir):
         else:
             assert docs.columns == columns and 0 < len(out) <= len(kept)
             docs, kept = spark.createDataFrame(out, docs.schema), out
+
+
+def test_toxicity_slots_do_not_hide_toxic_ngrams(spark):
+    """Held-out toxic rows that are missed when frequent n-grams share their slots."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    held = docs.join(labels.filter("toxic = 1").select("doc_id"), "doc_id")
+    got = toxicity_nb.score_texts(held, toxicity_nb.train(docs, labels)).filter("held_out")
+    assert got.filter("predicted = 1").count() / got.count() > 0.7

@@ -9,7 +9,8 @@ classifier is a logistic regression on the features times r: evidence that the c
 is cheap to weigh, noise is expensive. N-grams with a small ratio or few texts carry no weight.
 
 Counting and featurising run as Spark tasks. Training is bounded by ``train_rows`` labelled rows;
-what reaches the driver is one table of 2 ** bits counts and the selected features of those rows.
+what reaches the driver is the counts of n-grams in enough texts and the selected features of those
+rows.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from tickloom.llm.ngrams import Distinct, ngram_ids
 @dataclass(frozen=True)
 class Settings:
     sizes: tuple[int, ...] = (3, 4, 5, 6)
-    bits: int = 18
+    #: Slots of the n-grams, well above their number, so that frequent ones do not cover rare ones.
+    bits: int = 22
     #: Bound of the training sample: labelled rows with the smallest hash of their id.
     train_rows: int = 16_000
     smoothing: float = 3.0
@@ -72,7 +74,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> Dat
 
 
 def _counts(rows: DataFrame, settings: Settings) -> pd.DataFrame:
-    """Texts with each n-gram, by class; id -1 counts the texts themselves."""
+    """Texts with each n-gram of enough texts, by class; id -1 counts the texts themselves."""
 
     def count(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         distinct = Distinct(settings.bits)
@@ -88,6 +90,8 @@ def _counts(rows: DataFrame, settings: Settings) -> pd.DataFrame:
     counted = rows.mapInPandas(count, "id long, others long, toxic long")
     return counted.groupBy("id").agg(
         F.sum("others").alias("others"), F.sum("toxic").alias("toxic")
+    ).filter(
+        (F.col("id") < 0) | (F.col("others") + F.col("toxic") >= settings.least_texts)
     ).toPandas()
 
 
