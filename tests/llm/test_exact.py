@@ -272,7 +272,7 @@ def test_empty_tables_of_contamination(spark, empty):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_near_copies_in_a_third_of_the_rows(spark):

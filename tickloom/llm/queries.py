@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import language_ftrl, secrets_markov, toxicity_nb
-from tickloom.llm.common import table
+from tickloom.llm import bpe_transducer, language_ftrl, oracle, secrets_markov, toxicity_nb
+from tickloom.llm.common import ascii_lower, fold, table
+from tickloom.llm.divergence_audit import source_audit
 from tickloom.llm.imatch import compare_edited
+from tickloom.llm.merkle_manifest import manifest
 from tickloom.llm.mixture_packing import mixture_pack
 from tickloom.llm.simhash_cover import near_duplicates
 from tickloom.llm.suffix_dedup import remove_repeats
@@ -64,8 +67,25 @@ def op10_simhash_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(prepare(spark), sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return manifest(docs, altered=ascii_lower(F.col("text")), where=fold("doc_id", 5) == 0).drop("proof")
+
+
+def op12_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return bpe_transducer.digest(bpe_transducer.decode_ids(bpe_transducer.encode_texts(docs)))
+
+
+def op13_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit(table(prepare(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_merkle_manifest": oracle.MERKLE,
+    "op13_divergence_audit": oracle.DIVERGENCE,
+}
