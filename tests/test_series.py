@@ -1,9 +1,11 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.walk import bars, frame, wave
+from tickloom.functions import ranking
 from tickloom.functions.ranking import exact_median, keep_recent
 from tickloom.functions.series import (
     chunk_order,
@@ -106,3 +108,40 @@ def test_exact_median(spark):
 def test_keep_recent_rejects_zero(spark):
     with pytest.raises(ValueError):
         keep_recent(spark.range(1), ["id"], 0, "id")
+
+
+def test_exact_median_searched_in_rounds(spark):
+    """Ties, NaN, infinities, signed zeros and NULL keys, with values far closer than any fixed cell."""
+    rng = random.Random(4)
+    rows = []
+    for g, n in (("one cell", 3_000), ("ties", 2_000), ("nan", 801), (None, 500), ("tiny", 1), ("two", 2)):
+        for _ in range(n):
+            value = 1.0 + rng.random() * 1e-9
+            if g == "ties":
+                value = float(rng.choice([-0.0, 0.0, 1.0, 2.0, float("inf"), float("-inf"), rng.random()]))
+            elif g == "nan" and rng.random() < 0.6:
+                value = float("nan")
+            rows.append((g, value))
+    rows += [("nan edge", 1.0), ("nan edge", float("nan")), ("empty", None), ("third", 1.0), ("third", 2.0),
+             ("third", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    want = {r.g: repr(r.m) for r in df.groupBy("g").agg(F.median("v").alias("m")).collect() if r.m is not None}
+    assert want["third"] == "2.0" and want["nan edge"] == "nan"
+    for limit, pivots in ((50_000, 64), (40, 5), (3, 2)):
+        got = {r.g: repr(r.median) for r in exact_median(df, ["g"], "v", limit=limit, pivots=pivots).collect()}
+        assert got == want
+
+
+def test_exact_median_orders_only_small_cells(spark):
+    """A group inside one former cell: no window partition gets more than the limit."""
+    df = spark.range(20_000).select(F.lit("g").alias("g"), (1 + F.col("id") * 1e-9).alias("v"))
+    plan = exact_median(df, ["g"], "v", limit=100, pivots=16)
+    assert plan.first().median == df.agg(F.median("v")).first()[0]
+    searched = ranking._inside
+    seen = []
+    try:
+        ranking._inside = lambda *a: seen.append(searched(*a).count()) or searched(*a)
+        exact_median(df, ["g"], "v", limit=100, pivots=16)
+    finally:
+        ranking._inside = searched
+    assert seen[0] == 20_000 and seen[-1] <= 200 and len(seen) == 3

@@ -24,6 +24,16 @@ SOURCE_PRIORITY = ("coinbase", "kraken", "tiingo", "tiingo_fx")
 LOOKBACKS = (("30d", 30), ("90d", 90), ("365d", 365), ("full", None))
 
 
+#: A decimal number; spellings of NaN, infinity or typed literals are none.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def number(text: Column) -> Column:
+    """The finite number that a text holds, else NULL."""
+    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def mask_secrets(text: Column) -> Column:
     """Replace the value of credential-bearing ``name=value`` pairs by ``***``."""
     return F.regexp_replace(text, rf"(?i)\b({SECRET_NAMES})=[^&\s'\"]+", "$1=***")

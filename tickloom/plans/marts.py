@@ -27,16 +27,25 @@ STALE_DAYS = 3
 
 
 def source_reconciliation(typed: DataFrame) -> DataFrame:
-    """Closes of the two crypto venues for the bars both cover."""
-    def side(source: str, name: str) -> DataFrame:
-        return typed.where(F.col("source") == source).select(
-            "symbol", "ts", F.col("close").alias(name)
-        )
+    """Closes of the two crypto venues for the bars both cover.
+
+    One scan: each venue's close is a conditional aggregate of the bar, combined map-side. A bar is
+    unique per source, so there is one row to take.
+    """
+    def side(source: str, name: str) -> list[Column]:
+        own = F.col("source") == source
+        return [
+            F.max(F.when(own, F.col("close"))).alias(name),
+            F.count_if(own).alias(f"_{name}"),
+        ]
 
     gap = pct_gap(F.col("coinbase_close"), F.col("kraken_close"))
     return (
-        side("coinbase", "coinbase_close")
-        .join(side("kraken", "kraken_close"), ["symbol", "ts"])
+        typed.where(F.col("source").isin("coinbase", "kraken"))
+        .groupBy("symbol", "ts")
+        .agg(*side("coinbase", "coinbase_close"), *side("kraken", "kraken_close"))
+        .where("_coinbase_close > 0 and _kraken_close > 0")
+        .drop("_coinbase_close", "_kraken_close")
         .withColumn("abs_pct_diff", gap)
         .withColumn(
             "is_discrepant", F.coalesce(F.col("abs_pct_diff") > DISCREPANT_PCT, F.lit(False))

@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import source_rank
+from tickloom.functions.scalars import number, source_rank
 
 TYPED = ("open", "high", "low", "close", "volume", "adj_close")
 FLAGS = ("is_zero_volume", "has_null_price", "high_lt_low")
 
 
+#: Numbers and numeric texts both read as text.
+PAYLOAD = "open string, high string, low string, close string, volume string, adjClose string"
+
+
 def all_sources(raw: DataFrame) -> DataFrame:
     """Bronze payloads as typed rows with quality flags; a map, no shuffle.
 
-    Numbers and numeric strings read alike. A payload without the key gives NULL.
+    A payload is parsed once. Numbers and numeric strings read alike; a payload without the key, or
+    with a text that is no finite number, gives NULL.
     """
-    def number(key: str):
-        return F.get_json_object("payload", f"$.{key}").cast("double")
-
+    cells = {key: number(F.col(f"_p.{key}")) for key in ("open", "high", "low", "close", "volume")}
     missing = F.lit(False)
     for price in ("open", "high", "low", "close"):
         missing = missing | F.col(price).isNull()
@@ -28,13 +31,17 @@ def all_sources(raw: DataFrame) -> DataFrame:
             "symbol",
             "granularity",
             F.col("candle_ts").alias("ts"),
-            *[number(key).alias(key) for key in ("open", "high", "low", "close", "volume")],
-            F.when(F.col("source") == "tiingo", number("adjClose")).alias("adj_close"),
+            F.from_json("payload", PAYLOAD).alias("_p"),
+        )
+        .select(
+            "source", "symbol", "granularity", "ts",
+            *[cell.alias(key) for key, cell in cells.items()],
+            F.when(F.col("source") == "tiingo", number(F.col("_p.adjClose"))).alias("adj_close"),
         )
         .withColumn("is_zero_volume", F.coalesce(F.col("volume") == 0, F.lit(False)))
         .withColumn("has_null_price", missing)
         .withColumn("high_lt_low", F.coalesce(F.col("high") < F.col("low"), F.lit(False)))
-    )
+    )
 
 
 def canonical(typed: DataFrame) -> DataFrame:

@@ -163,18 +163,63 @@ def _feed_rejects(w: Warehouse):
     return kept
 
 
+#: Text the JSON functions would write anew: a trailing zero, 21 digits, spaces, and quoted marks.
+KEPT = '"exact": 1.10,"long":123456789012.123456789,"note":"a, ]}\\" [b", "nested":[{"x":1.0},[ ]]'
+
+
 def _raw_payload(w: Warehouse):
-    """Equity rows with a field the parser does not know and prices written as text."""
-    text = F.regexp_replace("response", r'"open":([^,]+)', r'"open":"$1","venue":"x"')
-    bars, _ = feeds.equity_bars(w.responses("equity").withColumn("response", text))
-    return bars.withColumns(
+    """Dated rows with fields the parser does not know, and prices written as text."""
+    kept = []
+    for kind in ("equity", "fx"):
+        pages = w.responses(kind)
+        text = F.regexp_replace("response", r'"open":([^,]+)', r'"open":"$1",@')
+        pages = pages.withColumn("response", F.replace(text, F.lit("@"), F.lit(KEPT)))
+        bars, _ = PARSERS[kind](pages)
+        whole = bars.join(pages.select("symbol", "page", "response"), ["symbol", "page"])
+        kept.append(whole.withColumn("byte_equal", F.col("response").contains(F.col("payload"))))
+    field = F.regexp_extract
+    return kept[0].unionByName(kept[1]).withColumns(
         {
-            "venue": F.get_json_object("payload", "$.venue"),
-            "payload_open": F.get_json_object("payload", "$.open"),
+            "payload_open": field("payload", r'"open":"([^"]+)"', 1),
+            "exact": field("payload", r'"exact": ([^,]+),', 1),
+            "long": field("payload", r'"long":([^,]+),', 1),
+            "tail": F.substring_index("payload", '"note"', -1).contains('"nested":[{"x":1.0},[ ]]'),
         }
     )
 
 
+#: A first candle whose number is the text or the literal of no number.
+NO_NUMBERS = {
+    "coinbase": ("[", "[[0,NaN,1,1,1,1],"),
+    "kraken": ('":[[', '":[[0,"1","NaN","1","1","1","1",7],['),
+    "equity": ("[", '[{"date":"2000-01-01T00:00:00Z","open":"NaN","high":1,"low":1,"close":1,"volume":1},'),
+    "fx": ("[", '[{"date":"2000-01-01T00:00:00Z","open":1,"high":1,"low":1,"close":"-Infinity"},'),
+}
+
+
+def _number_rejects(w: Warehouse):
+    """Every page of every feed begins with a candle that holds no number; bars are counted too."""
+    kept = None
+    for kind, parse in PARSERS.items():
+        first, bad = NO_NUMBERS[kind]
+        at = F.instr("response", first)
+        text = F.col("response")
+        damaged = F.concat(
+            F.substring(text, F.lit(1), at - 1), F.lit(bad), F.substring(text, at + len(first), F.length(text))
+        )
+        pages = w.responses(kind).withColumn("response", F.when(at > 0, damaged).otherwise(text))
+        bars, rejects = parse(pages)
+        part = rejects.where("reason = 'unreadable number'").groupBy("source", "symbol").agg(
+            F.count(F.lit(1)).alias("rejected")
+        )
+        counted = bars.groupBy("source", "symbol").agg(
+            F.count(F.lit(1)).alias("bars"), F.count_if(F.isnan("open") | F.isnan("close")).alias("nan_bars")
+        )
+        both = part.join(counted, ["source", "symbol"])
+        kept = both if kept is None else kept.unionByName(both)
+    return kept
+
+
 def _outcomes(w: Warehouse):
     """The whole stream, and the part whose credentials were accepted."""
     everything = bronze.run_outcome(w.audit).withColumn("part", F.lit("all"))
@@ -232,8 +277,18 @@ ENTRIES = [
               UNION ALL SELECT 'kraken', symbol, page, CASE page % 5
                   WHEN 0 THEN 'venue error: EGeneral:Busy' WHEN 1 THEN 'no candle list' END,
                   CASE WHEN page % 5 < 2 THEN 1 ELSE n END FROM pages"""),
-    Entry("raw_payload_roundtrip", "S3", "symbol:s ts:t page:i open:d6 payload_open:d6 venue:s",
-          _raw_payload, f"SELECT *, open AS payload_open, 'x' AS venue FROM {PAGES}"),
+    Entry("raw_payload_roundtrip", "S3 S4",
+          "source:s symbol:s ts:t page:i open:d6 payload_open:d6 exact:s long:s tail:b byte_equal:b",
+          _raw_payload,
+          f"""SELECT *, open AS payload_open, '1.10' AS exact, '123456789012.123456789' AS long,
+                     true AS tail, true AS byte_equal
+              FROM {PAGES}, (VALUES ('tiingo'), ('tiingo_fx')) f(source)"""),
+    Entry("feed_number_rejects", "S1 S2 S3 S4", "source:s symbol:s rejected:i bars:i nan_bars:i",
+          _number_rejects,
+          f"""WITH pages AS (SELECT symbol, page, count(*) AS n FROM {PAGES} GROUP BY 1, 2),
+              feeds(source) AS (VALUES ('coinbase'), ('kraken'), ('tiingo'), ('tiingo_fx'))
+              SELECT source, symbol, count(*) AS rejected, sum(n) AS bars, 0 AS nan_bars
+              FROM pages, feeds WHERE source <> 'kraken' OR page % 5 > 1 GROUP BY 1, 2"""),
     Entry("venue_pairs", "S5", "symbol:s ts:t pair:s ticker:s",
           lambda w: feeds.map_symbols(w.bars, PAIRS)[0].withColumn(
               "ticker", feeds.fx_ticker(F.col("symbol"))),

@@ -31,6 +31,17 @@ def _quality(w: Warehouse) -> DataFrame:
     return marts.data_quality(w.canonical, w.catalog)
 
 
+def _medians(w: Warehouse) -> DataFrame:
+    """Closes and daily returns by region, the latter close together and searched in rounds."""
+    def by_region(df: DataFrame, value: str, **options: int) -> DataFrame:
+        return exact_median(df.join(w.catalog, "symbol"), ["region"], value, **options)
+
+    returns = by_region(w.indicator_rows, "daily_return", limit=100, pivots=8)
+    return by_region(w.canonical, "close").join(
+        returns.withColumnRenamed("median", "median_return"), "region"
+    )
+
+
 def _entries(w: Warehouse) -> DataFrame:
     return sinks.variant_entries(w.variant_mart)
 
@@ -349,11 +360,12 @@ ENTRIES = [
           _split_summary,
           """SELECT CASE WHEN is_grand_total THEN 'overall' ELSE 'by_n_components' END AS part,
                     n_components, n_variants, oos_survival_rate FROM overfit"""),
-    Entry("exact_median", "A9", "region:s median:d6",
-          lambda w: exact_median(w.canonical.join(w.catalog, "symbol"), ["region"], "close",
-                                 cell_width=1.0),
-          """SELECT region, median(close) AS median FROM canon JOIN catalog USING (symbol)
-             GROUP BY 1"""),
+    Entry("exact_median", "A9", "region:s median:d6 median_return:d9", _medians,
+          """SELECT region, median, median_return FROM (
+                 SELECT region, median(close) AS median FROM canon JOIN catalog USING (symbol)
+                 GROUP BY 1) JOIN (
+                 SELECT region, median(daily_return) AS median_return
+                 FROM ind JOIN catalog USING (symbol) GROUP BY 1) USING (region)"""),
     Entry("totals", "A12", "assets:i bronze_rows:i sources:i backtests:i",
           lambda w: marts.totals(w.raw, w.history),
           """SELECT count(DISTINCT symbol) AS assets, count(*) AS bronze_rows,

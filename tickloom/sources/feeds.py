@@ -8,12 +8,15 @@ bad one never stops the others. A price that is JSON null stays NULL; later laye
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickloom.functions.scalars import mask_secrets
+from tickloom.functions.scalars import mask_secrets, number
 
 # Field order of the array-shaped candles of the two crypto venues.
 COINBASE_FIELDS = ("time", "low", "high", "open", "close", "volume")
@@ -30,6 +33,40 @@ REJECT_COLUMNS = ("source", "symbol", "granularity", "page", "reason", "raw")
 LAST_SECOND = 253_402_300_799
 
 
+_MARKS = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{},]', re.DOTALL)
+
+
+def element_texts(text: str | None) -> list[str] | None:
+    """The elements of a JSON array as they stand in ``text``, without the space around them.
+
+    Only brackets and quoted strings are followed; whether the text is JSON is for others to judge.
+    NULL if it is no array by these marks.
+    """
+    text = (text or "").strip()
+    if not text.startswith("["):
+        return None
+    depth, start, found = 0, 1, []
+    for mark in _MARKS.finditer(text):
+        sign = mark.group()[0]
+        if sign in "[{":
+            depth += 1
+        elif sign in "]}":
+            depth -= 1
+        if depth == 0 or (depth == 1 and sign == ","):
+            element = text[start : mark.start()].strip()
+            if element or found or depth:
+                found.append(element)
+            start = mark.end()
+            if depth == 0:
+                return found if start == len(text) else None
+    return None
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _element_texts(texts: pd.Series) -> pd.Series:
+    return texts.map(element_texts)
+
+
 def _split(opened: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     """Elements of ``_list`` as raw text ``_x``, and the responses that hold no list.
 
@@ -59,10 +96,10 @@ def _finish(
 
 
 def _unreadable(cells: Mapping[str, Column]) -> Column:
-    """A cell that holds something, but no number."""
+    """A cell that holds something, but no finite number."""
     bad = F.lit(False)
     for cell in cells.values():
-        bad = bad | (cell.isNotNull() & cell.try_cast("double").isNull())
+        bad = bad | (cell.isNotNull() & number(cell).isNull())
     return bad
 
 
@@ -73,11 +110,11 @@ def _positional(
     items, rejects = _split(opened, source)
     items = items.withColumn("_r", F.from_json("_x", CANDLE_LIST))
     cells = {name: F.get("_r", F.lit(place)) for place, name in enumerate(fields)}
-    whole = {c: cells[c].try_cast("double").try_cast("long") for c in ("time", "count") if c in cells}
+    whole = {c: number(cells[c]).try_cast("long") for c in ("time", "count") if c in cells}
     labelled = F.struct(
         *[
             whole.get(
-                name, cell if numbers_as_text else cell.try_cast("double")
+                name, cell if numbers_as_text else number(cell)
             ).alias(name)
             for name, cell in cells.items()
         ]
@@ -91,7 +128,7 @@ def _positional(
         items, rejects, reason,
         [
             F.timestamp_seconds(whole["time"]).alias("ts"),
-            *[cells[p].try_cast("double").alias(p) for p in (*PRICES, "volume")],
+            *[number(cells[p]).alias(p) for p in (*PRICES, "volume")],
             F.to_json(labelled).alias("payload"),
         ],
     )
@@ -128,8 +165,17 @@ def kraken_bars(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _dated(
     responses: DataFrame, source: str, numbers: tuple[str, ...]
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows with a ``date``; the payload is the element's own text, unknown fields included."""
-    items, rejects = _split(_listed(responses), source)
+    """Rows with a ``date``; the payload is the element's own text, unknown fields included.
+
+    The JSON functions would write the elements anew (``1.10`` as ``1.1``, long numbers rounded), so
+    they only decide whether the response is a list; the elements are cut out of its text. A
+    response on whose elements both do not agree is a reject.
+    """
+    read = F.col("_list")
+    own = F.when(read.isNotNull(), _element_texts("response"))
+    listed = _listed(responses).withColumn("_own", own)
+    agreed = F.when(F.size("_own") == F.size(read), F.col("_own"))
+    items, rejects = _split(listed.withColumn("_list", agreed), source)
     items = items.withColumn("_m", F.from_json("_x", "map<string,string>"))
     cells = {c: F.try_element_at("_m", F.lit(c)) for c in numbers}
     ts = F.try_to_timestamp(F.try_element_at("_m", F.lit("date")))
@@ -141,12 +187,12 @@ def _dated(
         .when(ts.isNull(), "unreadable time")
         .when(_unreadable(cells), "unreadable number")
     )
-    volume = cells["volume"].try_cast("double") if "volume" in cells else F.lit(None).cast("double")
+    volume = number(cells["volume"]) if "volume" in cells else F.lit(None).cast("double")
     return _finish(
         items, rejects, reason,
         [
             ts.alias("ts"),
-            *[cells[p].try_cast("double").alias(p) for p in PRICES],
+            *[number(cells[p]).alias(p) for p in PRICES],
             volume.alias("volume"),
             F.col("_x").alias("payload"),
         ],
