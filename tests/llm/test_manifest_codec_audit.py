@@ -159,6 +159,8 @@ def test_codec_on_tables(docs, tiktoken_encode):
         packed = np.array(ids, "<u4").tobytes()
         want.append((r.doc_id, len(ids), hashlib.sha256(packed).hexdigest(), sha(r.text or "")))
     assert got == sorted(want, key=repr)
+    both = sorted(map(tuple, bpe_transducer.digest(bpe_transducer.round_trip(docs)).collect()), key=repr)
+    assert both == got
 
 
 def any_text(rng):
@@ -209,10 +211,10 @@ def test_long_runs_take_linear_time():
     steps = 0
     after = made.after
 
-    def counted(readings, b):
+    def counted(state, b):
         nonlocal steps
         steps += 1
-        return after(readings, b)
+        return after(state, b)
 
     made.after = counted
     assert b"".join(made._bytes[i] for i in made.run(b"ab" * 500_000)) == b"ab" * 500_000
@@ -298,7 +300,7 @@ def test_audit_of_ties_that_cross_the_last_rank(spark):
 
 
 @pytest.mark.parametrize("run", [
-    manifest, audited, bpe_transducer.encode_texts, source_audit,
+    manifest, audited, bpe_transducer.encode_texts, bpe_transducer.round_trip, source_audit,
     lambda d: bpe_transducer.digest(bpe_transducer.decode_ids(bpe_transducer.encode_texts(d))),
 ])
 def test_empty_table(empty, run):

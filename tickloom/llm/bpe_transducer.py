@@ -7,7 +7,7 @@ text). The merges are therefore compiled into a nondeterministic transducer: its
 token and a place in the trie of tokens, and it may close a token where the border holds.
 
 The transducer is determinised while it reads. A state is the set of open readings: for each, its last
-token and its place in the trie. At every place exactly one reading closes a token, which names the
+token and its place in the trie, all of which are suffixes of the longest. At every place exactly one reading closes a token, which names the
 border before it, so the tokens of every prefix are known. A reading stays open only while its place
 in the trie has a continuation: readings reach back no further than the longest token, and what all
 of them agree on is emitted. States and arcs are found on first use and kept; their table is bounded
@@ -42,43 +42,48 @@ _BLOCK = 1 << 16
 class State(dict):
     """A determinised state: next state by byte, found on first use.
 
-    ``readings`` are the open ones, as pairs of last token (plus 1, 0 at the start) and place in the
-    trie packed into one number. Exactly one reading closes a token at each place; ``token`` is it.
+    ``at`` is the longest open string of the input's end, as its place in the trie; the other open
+    ones are its suffixes. ``lasts`` has the last token before each, longest first; the input's end
+    itself comes last, so its entry is the token that closes here.
     """
 
-    __slots__ = ("_of", "readings", "token")
+    __slots__ = ("_of", "at", "lasts", "token")
 
-    def __init__(self, of: Transducer, readings: tuple[int, ...]):
-        self._of, self.readings, self.token = of, readings, (readings[-1] >> 32) - 1
+    def __init__(self, of: Transducer, at: int, lasts: tuple[int, ...]):
+        self._of, self.at, self.lasts, self.token = of, at, lasts, lasts[-1]
 
     def __missing__(self, b: int) -> State:
-        found = self[b] = self._of.after(self.readings, b)
+        found = self[b] = self._of.after(self, b)
         return found
 
 
 class Transducer:
     """Ids of a byte string by the ranks of its tokens, which must include all single bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 1 << 18):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 1 << 17):
         self.ranks = ranks
         self._bytes = {rank: token for token, rank in ranks.items()}
         self._length = {rank: len(token) for token, rank in ranks.items()}
         self._child: dict[int, int] = {}
-        #: by place in the trie: the token that ends here, and how many bytes lead to it
-        self._token, self._depth = [-1], [0]
+        #: by place in the trie: the token that ends here, how many bytes lead to it, if it goes on
+        self._token, self._depth, self._inner = [-1], [0], [True]
         for token, rank in ranks.items():
             node = 0
             for depth, b in enumerate(token, 1):
+                self._inner[node] = True
                 node = self._child.setdefault(node << 8 | b, len(self._token))
                 if node == len(self._token):
                     self._token.append(-1)
                     self._depth.append(depth)
+                    self._inner.append(False)
             self._token[node] = rank
-        self._whole: dict[int, bool] = {}
+        #: the open places of a longest one, and what a byte does to them
+        self._open: dict[int, tuple[int, ...]] = {0: (0,)}
+        self._moves: dict[int, tuple] = {}
         self._border: dict[int, bool] = {}
         self._max_states = max_states
-        self._states: dict[tuple[int, ...], State] = {}
-        self.start = State(self, (0,))
+        self._states: dict[tuple, State] = {}
+        self.start = State(self, 0, (-1,))
 
     def ids(self, piece: bytes) -> list[int]:
         """A token of the vocabulary stands for itself; other pieces go through the transducer."""
@@ -110,48 +115,59 @@ class Transducer:
 
     def _agreed(self, state: State, ends: list[int]) -> int:
         """The last border that lies in all open readings."""
-        borders = {len(ends) - self._depth[r & 0xFFFFFFFF] for r in state.readings}
+        borders = {len(ends) - self._depth[node] for node in self._open[state.at]}
         while len(borders) > 1:
             last = max(borders)
             borders.remove(last)
             borders.add(last - self._length[ends[last - 1]])
         return borders.pop()
 
-    def after(self, readings: tuple[int, ...], b: int) -> State:
-        child, open_, closed = self._child, [], None
-        for reading in readings:
-            node = child.get((reading & 0xFFFFFFFF) << 8 | b)
-            if node is None:
-                continue
-            last = reading >> 32
-            open_.append(last << 32 | node)
-            if closed is None:
-                token = self._token[node]
-                if token >= 0 and self._holds(last - 1, token):
-                    closed = token
-        open_.append(closed + 1 << 32)
-        key = tuple(open_)
+    def after(self, state: State, b: int) -> State:
+        edge = state.at << 8 | b
+        move = self._moves.get(edge) or self._move(edge)
+        at, kept, closing = move
+        lasts = state.lasts
+        # exactly one reading closes a token at each place
+        for i, token in closing:
+            if self._holds(lasts[i], token):
+                break
+        key = at, (*[lasts[i] for i in kept], token)
         found = self._states.get(key)
         if found is None:
             if len(self._states) >= self._max_states:
-                for state in self._states.values():
-                    state.clear()
+                for old in self._states.values():
+                    old.clear()
                 self._states.clear()
                 self.start.clear()
-            found = self._states[key] = State(self, key)
+            found = self._states[key] = State(self, *key)
+        return found
+
+    def _move(self, edge: int) -> tuple[int, list[int], list[tuple[int, int]]]:
+        """Longest open place after a byte, which open readings go on, and which may close a token."""
+        nodes, kept, closing = [], [], []
+        for i, node in enumerate(self._open[edge >> 8]):
+            node = self._child.get(node << 8 | edge & 0xFF)
+            if node is None:
+                continue
+            token = self._token[node]
+            if token >= 0 and merged(self._bytes[token], self.ranks) == [token]:
+                closing.append((i, token))
+            if self._inner[node]:
+                nodes.append(node)
+                kept.append(i)
+        nodes.append(0)
+        self._open[nodes[0]] = tuple(nodes)
+        found = self._moves[edge] = nodes[0], kept, closing
         return found
 
     def _holds(self, last: int, token: int) -> bool:
-        """Whether merging leaves ``token`` whole, and the border before it open."""
-        whole = self._whole.get(token)
-        if whole is None:
-            whole = self._whole[token] = merged(self._bytes[token], self.ranks) == [token]
-        if last < 0 or not whole:
-            return whole
+        """Whether merging leaves the border between two tokens open."""
+        if last < 0:
+            return True
         pair = last << 32 | token
         held = self._border.get(pair)
         if held is None:
-            if len(self._border) >= 4 * self._max_states:
+            if len(self._border) >= 2 * self._max_states:
                 self._border.clear()
             both = merged(self._bytes[last] + self._bytes[token], self.ranks)
             held = self._border[pair] = both == [last, token]
@@ -245,7 +261,7 @@ class Splitter:
 class Pieces(dict):
     """Packed ids of the pieces met, short ones kept; begins anew when it is full."""
 
-    def __init__(self, transducer: Transducer, kept: int = 1 << 18, longest: int = 48):
+    def __init__(self, transducer: Transducer, kept: int = 1 << 17, longest: int = 48):
         self._transducer, self._kept, self._longest = transducer, kept, longest
 
     def __missing__(self, piece: str) -> bytes:
@@ -423,6 +439,29 @@ def decode_ids(encoded: DataFrame, tokenizer: str = "byte_bpe_multi_50k.tiktoken
     return done.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
+def round_trip(docs: DataFrame, tokenizer: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
+    """``decode_ids`` of ``encode_texts``, both in one Python worker, so ids need not travel between."""
+
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made = codec(tokenizer)
+        for frame in frames:
+            # in slices, so that ids and texts of a whole batch are not held twice
+            for at in range(0, len(frame), 512):
+                part = frame.iloc[at : at + 512]
+                ids = [made.encode(x) for x in part["text"]]
+                done = [made.decode(x) for x in ids]
+                yield pd.DataFrame(
+                    {
+                        "doc_id": part["doc_id"].to_numpy(), "ids": ids,
+                        "text": [x for x, _ in done], "well_formed": [x for _, x in done],
+                    }
+                )
+
+    narrow = docs.select(F.col("doc_id").cast("string").alias("doc_id"), whole_text().alias("text"))
+    done = narrow.mapInPandas(run, "doc_id string, ids binary, text string, well_formed boolean")
+    return done.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 def digest(decoded: DataFrame) -> DataFrame:
     """Counts and hashes of ids and decoded text, one row for each of ``decode_ids``."""
     return decoded.select(

@@ -74,7 +74,7 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents")
-    return bpe_transducer.digest(bpe_transducer.decode_ids(bpe_transducer.encode_texts(docs)))
+    return bpe_transducer.digest(bpe_transducer.round_trip(docs))
 
 
 def op13_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
