@@ -30,8 +30,8 @@ _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 def number(text: Column) -> Column:
     """The finite number that a text holds, else NULL."""
-    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    value = text.try_cast("double")
+    return F.when(text.rlike(_NUMBER) & (F.abs(value) < F.lit(float("inf"))), value)
 
 
 def mask_secrets(text: Column) -> Column:
