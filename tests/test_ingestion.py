@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import scalars
 from tickloom.plans import silver
-from tickloom.sources import bronze, feeds, tables
+from tickloom.sources import bronze, feeds, store, tables
 from tickloom.sources.catalog import catalog_from_config, read_catalog, restrict
 from tickloom.streaming.ingest import ingest_new_files
 
@@ -257,3 +257,64 @@ def test_feed_files_are_read_with_a_fixed_schema(spark, tmp_path):
     spark.createDataFrame([("A", 0, page)], "symbol string, page int, response string"
                           ).write.json(path)
     assert feeds.coinbase_bars(feeds.read_responses(spark, path))[0].count() == 1
+
+
+def candles(spark, *rows):
+    return spark.createDataFrame(
+        [("coinbase", "A", "1d", DAY.replace(month=m, day=d), p, a) for m, d, p, a in rows],
+        "source string, symbol string, granularity string, candle_ts timestamp, payload string, arrival int")
+
+
+def test_append_reads_only_the_months_it_touches(spark, tmp_path):
+    path = str(tmp_path / "candles")
+    first = candles(spark, (1, 1, "a", 1), (2, 1, "b", 1), (3, 1, "c", 1))
+    assert store.append_candles(spark, first, path, first_by="arrival").inserted.count() == 3
+    again = candles(spark, (2, 1, "other", 1), (2, 2, "late", 2), (2, 2, "early", 1))
+    done = store.append_candles(spark, again, path, first_by="arrival")
+    assert [tuple(r) for r in done.by_month().collect()] == [("coinbase", "2024-02", 3, 1)]
+    stored = store.read_store(spark, path)
+    assert {(r.candle_ts.month, r.payload) for r in stored.collect()} == {
+        (1, "a"), (2, "b"), (2, "early"), (3, "c")}
+    # offering all of it again inserts nothing
+    once_more = first.unionByName(again)
+    assert store.append_candles(spark, once_more, path, first_by="arrival").inserted.count() == 0
+
+    held = store.already_stored(stored, store.with_month(again))
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "2024-02" in filters and "2024-01" not in filters and "2024-03" not in filters
+
+
+def test_payload_is_the_element_as_received(spark):
+    own = ['{"date":"2024-01-02T00:00:00Z", "open":1.10,"high":123456789012.123456789,"low":1,"close":1e0 }',
+           '{"date":"2024-01-03T00:00:00Z","open":1,"high":1,"low":1,"close":1,"note":"a ]},[\\"{","x":[1,{"y":2.50}]}']
+    text = f" [ {own[0]} ,\n{own[1]}] "
+    for parse in (feeds.equity_bars, feeds.fx_bars):
+        bars, rejects = parse(texts(spark, text, "[]", "[ ]", f"[{own[0]}", f"[{own[0]}]]"))
+        assert [r.payload for r in bars.where("page = 0").orderBy("ts").collect()] == own
+        assert [r.page for r in rejects.collect()][:1] == [3]
+    assert feeds.element_texts('["a\\"],[b",{"c":"}"}]') == ['"a\\"],[b"', '{"c":"}"}']
+    assert feeds.element_texts("[1, [2,3] ,null]") == ["1", "[2,3]", "null"]
+    assert feeds.element_texts("{}") is None and feeds.element_texts(None) is None
+    assert feeds.element_texts("[]") == [] and feeds.element_texts("[1]x") is None
+
+
+def test_no_number_is_a_reject_in_every_feed(spark):
+    for word in ('"NaN"', "NaN", '"Infinity"', '"-Infinity"', '"1d"', '"0x1p3"', "1e999", '"1_0"'):
+        listed = f"[[1704067200,1,4,{word},3,5],[1704153600,1,4,2,3,5]]"
+        dated = (f'[{{"date":"2024-01-02","open":{word},"high":1,"low":1,"close":1}},'
+                 '{"date":"2024-01-03","open":"1.5","high":1,"low":1,"close":1}]')
+        venue = f'{{"error":[],"result":{{"P":[[1704067200,{word},"1","1","1","1","1",2]],"last":1}}}}'
+        for parse, text, good in ((feeds.coinbase_bars, listed, 1), (feeds.equity_bars, dated, 1),
+                                  (feeds.fx_bars, dated, 1), (feeds.kraken_bars, venue, 0)):
+            bars, rejects = parse(texts(spark, text))
+            assert (bars.count(), reasons(rejects)) == (good, [(0, "unreadable number")]), (word, parse)
+
+
+def test_payloads_are_parsed_once(spark):
+    raw = candles(spark, (1, 1, '{"open":"1.5","high":2,"low":1,"close":"NaN","volume":0}', 1))
+    typed = silver.all_sources(raw)
+    plan = typed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1 and "get_json_object" not in plan
+    row = typed.first()
+    assert (row.open, row.close, row.is_zero_volume, row.has_null_price) == (1.5, None, True, True)

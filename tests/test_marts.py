@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.walk import DAY0, bars, frame
+from tickloom.functions import scalars
 from tickloom.operators import expectations as q
 from tickloom.operators.retention import backfill_components, cascade, pruned_count, retain
 from tickloom.plans import marts, measures
@@ -177,12 +178,11 @@ def test_row_rules_and_constraints(spark):
 def test_index_is_whole_at_every_budget(spark, catalog):
     many = [run(f"{i}", 0, "+".join(f"s{j}" for j in range(5) if i >> j & 1), "A",
                 oos=(i / 100, 0.0, 1) if i % 4 else None) for i in range(1, 32)]
-    entries = sinks.variant_entries(marts.combination_analysis(runs(spark, *many), catalog))
-    overview = sinks.asset_overview(
-        catalog, *[spark.createDataFrame([], "symbol string, x int") for _ in range(3)])
-    head = sinks.headline(runs(spark, *many))
-    stamp = F.lit(DAY0)
-    docs = sinks.index_documents(overview, head, sinks.grouped_entries(entries), stamp)
+    variants = marts.combination_analysis(runs(spark, *many), catalog)
+    entries = sinks.variant_entries(variants)
+    nothing = spark.createDataFrame([], "symbol string, x int")
+    docs = sinks.asset_documents(
+        catalog, F.lit(DAY0), summary=nothing, quality=nothing, runs=runs(spark, *many), variants=variants)
     wide, narrow = (sinks.index_size_report(docs, n).first() for n in (10**6, 10))
     assert (wide.severity, narrow.severity) == ("ok", "warn")
     assert wide.index_bytes == narrow.index_bytes > 10
@@ -202,6 +202,51 @@ def test_entries_from_runs_have_no_trade_guard(spark):
     assert row.excess_return == 0.2
 
 
+def test_published_fields_take_any_accepted_spelling(spark):
+    """The first spelling with a value wins per row; what has none follows from the others."""
+    rows = spark.createDataFrame(
+        [("A", "a+b", None, 0.5, 0.25, None, 0.1234567), ("A", "b", 0.75, 0.5, 0.25, True, None)],
+        "symbol string, strategy string, total_return double, full_total_return double, "
+        "full_buy_hold_return double, beat_buy_hold boolean, oos_excess_return double")
+    out = {r.strategy: r for r in sinks.variant_entries(rows).collect()}
+    assert [f for f in out["b"].asDict() if f != "symbol"] == [f.name for f in sinks.VARIANT if f.shown]
+    assert (out["a+b"].total_return, out["a+b"].excess_return, out["a+b"].n_components) == (0.5, 0.25, 2)
+    assert (out["b"].total_return, out["b"].excess_return, out["b"].beat_bh_full) == (0.75, 0.5, True)
+    assert (out["a+b"].oos_excess_return, out["a+b"].beat_bh_oos) == (0.123457, True)
+    assert out["b"].beat_bh_oos is None and out["b"].n_trades is None and out["b"].sharpe is None
+
+
+def test_index_is_written_by_section_and_replaced_whole(spark, catalog, tmp_path):
+    path = str(tmp_path / "index")
+    totals = spark.createDataFrame([(3,)], "assets int")
+    sinks.write_index(sinks.index_sections(catalog, F.lit(DAY0), totals=totals), path)
+    stored = spark.read.text(path)
+    assert {r.section for r in stored.collect()} == {"assets", "combinations_index", "contents", "totals"}
+    sinks.write_index(sinks.index_sections(catalog, F.lit(DAY0)), path)
+    stored = spark.read.text(path)
+    by_section = {r.section: r["count"] for r in stored.groupBy("section").count().collect()}
+    assert by_section == {"assets": 3, "combinations_index": 1, "contents": 7}
+    contents = [json.loads(r.value) for r in stored.where("section = 'contents'").collect()]
+    assert {c["section"] for c in contents if c["present"]} == {"assets", "combinations_index"}
+
+
+def test_pooled_rows_are_known_by_flag_size_or_label(spark):
+    flagged = spark.createDataFrame([(True, 3, "x"), (False, 1, "x"), (None, None, "x")],
+                                    "is_grand_total boolean, n_components int, note string")
+    detail, overall = marts.split_overall(flagged)
+    assert [r.n_components for r in detail.collect()] == [1] and overall.count() == 2
+    labelled = spark.createDataFrame([("1", 5), ("Overall", 9)], "size string, n int")
+    detail, overall = marts.split_overall(labelled)
+    assert detail.first().n == 5 and overall.first().n == 9
+
+
+def test_json_keeps_fractions_of_seconds(spark):
+    times = spark.createDataFrame(
+        [(DAY0.replace(microsecond=250_000),), (DAY0,)], "t timestamp").select(scalars.as_json("t").alias("j"))
+    assert sorted(r.j for r in times.collect()) == [
+        '{"t":"2020-01-01T00:00:00+00:00"}', '{"t":"2020-01-01T00:00:00.250000+00:00"}']
+
+
 def test_stale_symbol_folders_are_removed(spark, catalog, tmp_path):
     docs = catalog.select("symbol", F.lit("{}").alias("document"))
     path = str(tmp_path / "per-symbol")

@@ -75,10 +75,6 @@ def compound(first: Column, second: Column) -> Column:
     return (F.lit(1) + first) * (F.lit(1) + second) - F.lit(1)
 
 
-def variant_name(components: Column) -> Column:
-    return F.array_join(F.array_sort(components), SEPARATOR)
-
-
 def name_parts(strategy: Column) -> Column:
     return F.split(strategy, r"\+")
 
@@ -97,12 +93,6 @@ def half_even(value: Column, digits: int) -> Column:
     return F.bround(value.cast("double"), digits)
 
 
-def first_of(df: DataFrame, *names: str) -> Column:
-    """First non-NULL among the columns that exist in ``df``; NULL when none does."""
-    present = [F.col(name) for name in names if name in df.columns]
-    return F.coalesce(*present) if present else F.lit(None)
-
-
 def existing(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [name for name in names if name in df.columns]
 
@@ -127,8 +117,9 @@ def numeric_frame(df: DataFrame, keep: Sequence[str] = ("symbol", "ts")) -> Data
 
 
 def as_json(*columns: Column | str) -> Column:
-    """Compact JSON of a struct: NULLs kept, timestamps ISO-8601 with offset."""
-    return F.to_json(
+    """Compact JSON of a struct: NULLs kept, timestamps ISO-8601 with offset and any fraction."""
+    text = F.to_json(
         F.struct(*columns),
-        {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ssxxx"},
+        {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"},
     )
+    return F.regexp_replace(text, r'("\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d)\.000000([+-]\d\d:\d\d")', "$1$2")

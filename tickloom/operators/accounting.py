@@ -112,16 +112,20 @@ def _window_starts(train_fraction: float) -> Column:
 
 
 def _with_positions(df: DataFrame, costs: Costs) -> DataFrame:
-    """``pos``, ``was`` and the growth factor of each expanded bar."""
+    """``pos``, ``was`` and the growth factor of each expanded bar.
+
+    A price of zero gives no factor; the input gate keeps its symbol from being scored, and its bars
+    cannot end the scoring of the others.
+    """
     age = F.col("rn") - F.col("start")
     mask = F.col("mask")
     pos = (age >= 1) & _covers(F.col("bits1"), mask)
     was = (age >= 2) & _covers(F.col("bits2"), mask)
     enter, leave = F.col("pos") & ~F.col("was"), ~F.col("pos") & F.col("was")
     factor = (
-        F.when(enter, F.col("close") / (F.col("open") * costs.buy))
-        .when(leave, F.col("open") * costs.sell / F.col("prev_close"))
-        .when(F.col("pos"), F.col("close") / F.col("prev_close"))
+        F.when(enter, F.try_divide(F.col("close"), F.col("open") * costs.buy))
+        .when(leave, F.try_divide(F.col("open") * costs.sell, F.col("prev_close")))
+        .when(F.col("pos"), F.try_divide(F.col("close"), F.col("prev_close")))
         .otherwise(F.lit(1.0))
     )
     return df.withColumns({"pos": pos, "was": was}).withColumns(
@@ -153,7 +157,7 @@ def chunk_scores(active: DataFrame, costs: Costs) -> DataFrame:
     """One summary per (symbol, chunk, mask, window): sums, drawdown pieces, open-trade edges."""
     w = so_far(Window.partitionBy(*KEY).orderBy("rn"))
     gained = F.col("factor") - 1
-    trade = F.col("open") * costs.sell / (F.col("entry_open") * costs.buy) - 1
+    trade = F.try_divide(F.col("open") * costs.sell, F.col("entry_open") * costs.buy) - 1
     return (
         active.withColumn("grown", F.log("factor"))
         .withColumn("level", F.sum("grown").over(w))
@@ -184,7 +188,7 @@ def window_scores(chunks: DataFrame, costs: Costs) -> DataFrame:
     """Combine chunk summaries in order into one row per (symbol, mask, window)."""
     before = carried(SERIES)
     n_active, mean_r = F.col("n_active"), F.col("mean_r")
-    late = F.col("orphan_exit") * costs.sell / (F.col("entry_before") * costs.buy) - 1
+    late = F.try_divide(F.col("orphan_exit") * costs.sell, F.col("entry_before") * costs.buy) - 1
     return (
         chunks.withColumn("offset", F.coalesce(F.sum("total").over(before), F.lit(0.0)))
         .withColumn("entry_before", F.last("last_entry", True).over(before))
@@ -496,7 +500,7 @@ def round_trips(active: DataFrame, variants: Sequence[Variant], costs: Costs) ->
             F.col("ts").alias("exit_ts"),
             (entry["open"] * (1.0 + costs.slip)).alias("entry_fill"),
             (F.col("open") * (1.0 - costs.slip)).alias("exit_fill"),
-            (F.col("open") * costs.sell / (entry["open"] * costs.buy) - 1).alias("return_pct"),
+            (F.try_divide(F.col("open") * costs.sell, entry["open"] * costs.buy) - 1).alias("return_pct"),
         )
     )
 

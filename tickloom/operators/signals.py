@@ -393,6 +393,17 @@ def assert_binary(df: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"signals must contain only 0 or 1: {wrong}")
 
 
+def not_binary(df: DataFrame, signals: Sequence[Signal]) -> DataFrame:
+    """Per symbol, how many bars hold a signal value other than 0 or 1, and the signals concerned."""
+    bad = {
+        s.name: F.coalesce(~F.col(f"sig_{s.name}").isin(0, 1), F.lit(True)) for s in signals
+    }
+    counted = df.groupBy("symbol").agg(*[F.count_if(c).alias(name) for name, c in bad.items()])
+    named = F.array_compact(F.array(*[F.when(F.col(n) > 0, F.lit(n)) for n in bad]))
+    total = sum((F.col(n) for n in bad), F.lit(0))
+    return counted.select("symbol", total.alias("n_bars"), named.alias("signals")).where("n_bars > 0")
+
+
 def assert_bars(df: DataFrame, required: Sequence[str] = ("ts", "open", "close")) -> None:
     missing = [c for c in required if c not in df.columns]
     if missing:

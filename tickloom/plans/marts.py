@@ -23,6 +23,8 @@ from tickloom.functions.scalars import (
 from tickloom.functions.series import largest_step
 
 DISCREPANT_PCT = 0.5
+# Labels that mark a row pooled over all sizes, in lower case.
+POOLED_LABELS = ("all", "overall", "total")
 STALE_DAYS = 3
 
 
@@ -373,8 +375,18 @@ def overfitting_summary(variants: DataFrame) -> DataFrame:
 
 
 def split_overall(summary: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Detail rows by size, and the single pooled row."""
-    pooled = F.coalesce("is_grand_total", F.lit(False)) | F.col("n_components").isNull()
+    """Detail rows by size, and the single pooled row.
+
+    A pooled row says so by its flag, by having no size, or by a label in any text column.
+    """
+    pooled = F.lit(False)
+    if "is_grand_total" in summary.columns:
+        pooled = pooled | F.coalesce("is_grand_total", F.lit(False))
+    if "n_components" in summary.columns:
+        pooled = pooled | F.col("n_components").isNull()
+    for name, kind in summary.dtypes:
+        if kind == "string":
+            pooled = pooled | F.coalesce(F.lower(name).isin(*POOLED_LABELS), F.lit(False))
     return summary.where(~pooled), summary.where(pooled)
 
 

@@ -325,6 +325,13 @@ class Warehouse:
     def fx_mart(self) -> DataFrame:
         return marts.fx_decomposition(self.bars, self.catalog)
 
+    @cached_property
+    def index_rows(self) -> DataFrame:
+        """The published index as read back, for the queries of its sections."""
+        from tickloom.registry.publishing import _sections
+
+        return _sections(self)
+
     @cached_property
     def single_curves(self) -> DataFrame:
         singles = [v for v in self.variants if len(v.components) == 1]

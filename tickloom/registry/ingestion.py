@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from tickloom.functions import scalars
 from tickloom.functions.series import largest_step
 from tickloom.plans import marts
+from tickloom.plans.daily import Scoring, daily_run
 from tickloom.registry.adapters import PAIRS, Warehouse
 from tickloom.registry.spec import Entry
 from tickloom.session import fresh_path
-from tickloom.sources import bronze, catalog, feeds, tables
+from tickloom.sources import bronze, catalog, feeds, store, tables
+from tickloom.sources.generations import Generations
 
 BAR = "symbol:s ts:t page:i open:d6 high:d6 low:d6 close:d6 volume:d6"
 
@@ -56,13 +58,29 @@ def _landing(w: Warehouse):
     return first.unionByName(again)
 
 
+def _stored_half(w: Warehouse) -> str:
+    """A candle store that holds every second candle."""
+    path = fresh_path(w.spark, "candle-store")
+    store.append_candles(w.spark, w.raw.where("k % 2 = 0"), path)
+    return path
+
+
 def _appended(w: Warehouse):
-    stored = w.raw.where("k % 2 = 0")
-    return bronze.unseen(_landing(w), stored, first_by="arrival").withColumn(
+    """The store after an append that offers stored and new candles, every fourth one twice."""
+    path = _stored_half(w)
+    store.append_candles(w.spark, _landing(w), path, first_by="arrival")
+    return store.read_store(w.spark, path).withColumn(
         "close", F.get_json_object("payload", "$.close").cast("double")
     )
 
 
+def _appended_months(w: Warehouse):
+    """What an increment of the years 1996 and 1997 offers and inserts, by partition."""
+    path = _stored_half(w)
+    late = _landing(w).where(F.year("candle_ts").between(1996, 1997))
+    return store.append_candles(w.spark, late, path, first_by="arrival").by_month()
+
+
 def _replicated(w: Warehouse):
     pieces = []
     inputs = {
@@ -227,6 +245,84 @@ def _outcomes(w: Warehouse):
     return everything.unionByName(accepted.withColumn("part", F.lit("accepted")))
 
 
+DAILY_FEEDS = {
+    "coinbase": feeds.coinbase_bars, "kraken": feeds.kraken_bars, "equity": feeds.equity_bars,
+    "fx": feeds.fx_bars,
+}
+
+
+def _daily(w: Warehouse, root: str, first_venue, attempts=None, hours: int = 36) -> int:
+    """One day of the job over the pages of all four feeds."""
+    responses = {kind: (parse, w.responses(kind)) for kind, parse in DAILY_FEEDS.items()}
+    responses["coinbase"] = (feeds.coinbase_bars, first_venue)
+    scoring = Scoring(w.signals, w.variants, w.costs)
+    now = F.lit(w.as_of + dt.timedelta(hours=hours)).cast("timestamp")
+    start = F.lit(dt.datetime(1990, 1, 1)).cast("timestamp")
+    return daily_run(w.spark, root, responses, w.catalog, scoring, now, start, attempts)
+
+
+def _daily_runs(w: Warehouse):
+    """Runs of a second day: the first one stored all candles but those of the last year."""
+    root = fresh_path(w.spark, "daily")
+    pages = w.responses("coinbase")
+    early = pages.where(F.col("page") * 300 < (w.as_of - dt.datetime(1970, 1, 1)).days - 365)
+    _daily(w, root, early, hours=36 - 24 * 900)
+    number = _daily(w, root, pages)
+    snapshot = Generations(w.spark, root).current()
+    assert snapshot.number == number == 2
+    return snapshot.read("runs")
+
+
+def _daily_isolated(w: Warehouse):
+    """One zero price in one symbol: that symbol is quarantined, all others are scored."""
+    root = fresh_path(w.spark, "daily-isolated")
+    pages = w.responses("coinbase")
+    newest = pages.groupBy("symbol").agg(F.max("page").alias("page")).where("symbol = '2-HIGH'")
+    # the last candle of the newest page, as [time,low,high,open,close,volume]
+    zeroed = F.regexp_replace(
+        "response", r"\[(\d+),([^,\]]+),([^,\]]+),[^,\]]+,([^,\]]+),([^,\]]+)\]\]$", r"[$1,$2,$3,0,$4,$5]]"
+    )
+    marked = pages.join(newest.withColumn("hit", F.lit(True)), ["symbol", "page"], "left")
+    damaged = marked.withColumn("response", F.when(F.col("hit"), zeroed).otherwise(F.col("response")))
+    _daily(w, root, damaged.drop("hit"))
+    snapshot = Generations(w.spark, root).current()
+    runs = snapshot.read("runs").groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("n_runs"), F.avg("total_return").alias("avg_return")
+    )
+    held = snapshot.read("quarantine").groupBy("symbol").agg(
+        F.array_join(F.sort_array(F.collect_set("reason")), ",").alias("reasons")
+    )
+    bars = snapshot.read("bars").groupBy("symbol").agg(F.count(F.lit(1)).alias("bars"))
+    return bars.join(runs, "symbol", "left").join(held, "symbol", "left")
+
+
+def _snapshots(w: Warehouse):
+    """What a reader that began before the second day sees, beside one that begins after it."""
+    root = fresh_path(w.spark, "generations")
+    generations = Generations(w.spark, root)
+
+    def write(bars) -> None:
+        draft = generations.begin()
+        draft.put("bars", bars, by=("symbol",))
+        draft.put("audit", None)
+        draft.put("spans", bars.groupBy("symbol").agg(F.max("ts").alias("last_ts")))
+        draft.publish(F.lit(w.as_of))
+
+    write(w.bars.where("k % 2 = 0"))
+    before = generations.current()
+    write(w.bars)
+    seen = None
+    for snapshot in (before, generations.current()):
+        part = (
+            snapshot.read("bars").groupBy("symbol").agg(F.count(F.lit(1)).alias("bars"))
+            .join(snapshot.read("spans"), "symbol")
+            .withColumn("generation", F.lit(snapshot.number))
+        )
+        seen = part if seen is None else seen.unionByName(part)
+    stored = generations.history("bars").groupBy("symbol", "generation").agg(F.count(F.lit(1)).alias("stored"))
+    return seen.join(stored, ["symbol", "generation"])
+
+
 def _fallback(w: Warehouse):
     """The variant mart is absent, so the plain runs are published."""
     from tickloom.sources.json_sinks import variant_entries
@@ -313,7 +409,11 @@ ENTRIES = [
                     CASE asset_class WHEN 'crypto' THEN 365 ELSE 252 END AS periods_per_year
              FROM catalog"""),
     Entry("bronze_dedup_append", "S9", "source:s symbol:s candle_ts:t close:d9", _appended,
-          "SELECT source, symbol, ts AS candle_ts, close FROM typed WHERE k % 2 = 1"),
+          "SELECT source, symbol, ts AS candle_ts, close FROM typed"),
+    Entry("bronze_pruned_append", "S9 S10", "source:s month:s offered:i inserted:i", _appended_months,
+          """SELECT source, strftime(ts, '%Y-%m') AS month,
+                    count(*) + count_if(k % 4 = 0) AS offered, count_if(k % 2 = 1) AS inserted
+             FROM typed WHERE year(ts) IN (1996, 1997) GROUP BY 1, 2"""),
     Entry("bronze_replication", "S10 S11", "relation:s rows_sent:i rows_inserted:i", _replicated,
           """SELECT 'ingest_runs' AS relation, count(*) AS rows_sent,
                     count_if(ingest_run_id % 3 <> 0) AS rows_inserted FROM audit
@@ -329,6 +429,20 @@ ENTRIES = [
     Entry("layer_rebuild", "S18", "symbol:s bars:i with_sma_200:i", _rebuilt,
           """SELECT symbol, count(*) AS bars, count(*) - 199 AS with_sma_200
              FROM bars GROUP BY 1"""),
+    Entry("layer_generations", "S12 S18", "generation:i symbol:s bars:i stored:i last_ts:t", _snapshots,
+          """SELECT 1 AS generation, symbol, count(*) AS bars, count(*) AS stored, max(ts) AS last_ts
+             FROM bars WHERE k % 2 = 0 GROUP BY symbol
+             UNION ALL SELECT 2, symbol, count(*), count(*), max(ts) FROM bars GROUP BY symbol"""),
+    Entry("daily_run", "S9 S12 S18 Q13 B27 M11",
+          "symbol:s strategy:s n_components:i n_bars:i total_return:d6 buy_hold_return:d6 sharpe:d4 "
+          "n_trades:i oos_total_return:d6 split_ts:t", _daily_runs, "SELECT * FROM runs"),
+    Entry("daily_run_isolated", "Q13 B17 B27", "symbol:s bars:i n_runs:i avg_return:d6 reasons:s",
+          _daily_isolated,
+          """SELECT b.symbol, b.bars, r.n_runs, r.avg_return,
+                    CASE b.symbol WHEN '2-HIGH' THEN 'bad_price' END AS reasons
+             FROM (SELECT symbol, count(*) AS bars FROM bars GROUP BY 1) b
+             LEFT JOIN (SELECT symbol, count(*) AS n_runs, avg(total_return) AS avg_return FROM runs
+                        WHERE symbol <> '2-HIGH' GROUP BY 1) r USING (symbol)"""),
     Entry("high_water_marks", "I1", "source:s symbol:s watermark:t",
           lambda w: bronze.high_water_marks(w.raw),
           "SELECT source, symbol, max(ts) AS watermark FROM typed GROUP BY 1, 2"),

@@ -46,23 +46,26 @@ def _entries(w: Warehouse) -> DataFrame:
     return sinks.variant_entries(w.variant_mart)
 
 
-def _index(w: Warehouse) -> DataFrame:
-    """Assets of two regions only have marts; the others must appear with NULLs."""
-    known = w.catalog.where("region <> 'us'").select("symbol")
+#: In the catalog, but without a single bar.
+WAITING = "6-NO DATA"
 
-    def some(df: DataFrame) -> DataFrame:
-        return df.join(known, "symbol", "left_semi")
 
-    overview = sinks.asset_overview(
-        w.catalog, some(_summary(w)), some(_quality(w)),
-        some(marts.reconciliation_rollup(w.reconciliation)),
-    )
-    docs = sinks.index_documents(
-        overview,
-        sinks.headline(some(marts.latest_runs(w.history))),
-        sinks.grouped_entries(some(_entries(w))),
-        F.lit(w.as_of),
-    )
+def _catalog_with_waiting(w: Warehouse) -> DataFrame:
+    """The catalog and one more asset that no mart has a row for."""
+    one = w.catalog.limit(1).select(
+        F.lit(WAITING).alias("symbol"), F.lit("equity").alias("asset_class"),
+        F.lit("global").alias("region"), F.lit("Asset 6").alias("name"),
+        F.lit(True).alias("has_volume"), F.lit("5-LOW").alias("fx_pair"),
+    )
+    return w.catalog.unionByName(one)
+
+
+def _index(w: Warehouse) -> DataFrame:
+    docs = sinks.asset_documents(
+        _catalog_with_waiting(w), F.lit(w.as_of), summary=_summary(w), quality=_quality(w),
+        reconciliation=marts.reconciliation_rollup(w.reconciliation),
+        runs=marts.latest_runs(w.history), variants=w.variant_mart,
+    )
     d = F.col("document")
     return docs.select(
         "symbol",
@@ -77,17 +80,53 @@ def _index(w: Warehouse) -> DataFrame:
     )
 
 
-def _budget(w: Warehouse) -> DataFrame:
-    """The same whole index under the standing budget and under one it cannot meet."""
-    overview = sinks.asset_overview(
-        w.catalog, _summary(w), _quality(w), marts.reconciliation_rollup(w.reconciliation)
+def _sections(w: Warehouse) -> DataFrame:
+    """The whole index, written by section and read again."""
+    path = fresh_path(w.spark, "index-sections")
+    sections = sinks.index_sections(
+        w.catalog, F.lit(w.as_of), summary=_summary(w), quality=_quality(w),
+        reconciliation=marts.reconciliation_rollup(w.reconciliation),
+        runs=marts.latest_runs(w.history), variants=w.variant_mart,
+        overfitting=marts.overfitting_summary(w.variant_mart),
+        leaderboard=marts.strategy_leaderboard(w.variant_mart), fx_decomposition=w.fx_mart,
+        totals=marts.totals(w.raw, w.history), recent_ingest_runs=w.audit,
+    )
+    sinks.write_index(sections, path)
+    return w.spark.read.schema("value string, section string").text(path)
+
+
+def _section(w: Warehouse, name: str, **fields: str) -> DataFrame:
+    """Fields of a section's documents by JSON path."""
+    rows = w.index_rows.where(F.col("section") == name)
+    return rows.select(*[F.get_json_object("value", f"$.{p}").alias(c) for c, p in fields.items()])
+
+
+def _tolerant(w: Warehouse) -> DataFrame:
+    """Sections of an index for which most marts are absent."""
+    sections = sinks.index_sections(
+        w.catalog, F.lit(w.as_of), runs=marts.latest_runs(w.history), totals=marts.totals(w.raw, w.history)
     )
-    docs = sinks.index_documents(
-        overview,
-        sinks.headline(marts.latest_runs(w.history)),
-        sinks.grouped_entries(_entries(w)),
-        F.lit(w.as_of),
+    listed = sections.where("section = 'assets'").select(
+        F.lit("assets").alias("name"), F.lit(True).alias("present"),
+        F.json_array_length(F.get_json_object("document", "$.combinations")).alias("n"),
+        F.get_json_object("document", "$.summary").isNull().alias("no_summary"),
+    )
+    contents = sections.where("section = 'contents'").select(
+        F.col("key").alias("name"), F.get_json_object("document", "$.present").cast("boolean").alias("present"),
+        F.lit(0).alias("n"), F.lit(True).alias("no_summary"),
+    )
+    return listed.unionByName(contents.where("name <> 'assets'")).groupBy("name", "present").agg(
+        F.sum("n").alias("n_listed"), F.bool_and("no_summary").alias("no_summary")
     )
+
+
+def _budget(w: Warehouse) -> DataFrame:
+    """The same whole index under the standing budget and under one it cannot meet."""
+    docs = sinks.asset_documents(
+        w.catalog, F.lit(w.as_of), summary=_summary(w), quality=_quality(w),
+        reconciliation=marts.reconciliation_rollup(w.reconciliation),
+        runs=marts.latest_runs(w.history), variants=w.variant_mart,
+    )
     docs = materialise(docs, "index")
     return _union(
         *[sinks.index_size_report(docs, b) for b in (sinks.INDEX_BYTE_BUDGET, 1_000)]
@@ -400,14 +439,63 @@ ENTRIES = [
           """SELECT c.symbol, c.fx_pair, s.latest_close, q.actual_days, r.n_discrepant,
                     coalesce(v.singles, 0) AS n_strategies, coalesce(v.n, 0) AS n_listed,
                     coalesce(v.n, 0) AS n_combinations, v.first_variant
-             FROM catalog c
-             LEFT JOIN summary s ON s.symbol = c.symbol AND c.region <> 'us'
-             LEFT JOIN quality q ON q.symbol = c.symbol AND c.region <> 'us'
+             FROM (SELECT symbol, fx_pair FROM catalog UNION ALL SELECT '6-NO DATA', '5-LOW') c
+             LEFT JOIN summary s ON s.symbol = c.symbol
+             LEFT JOIN quality q ON q.symbol = c.symbol
              LEFT JOIN (SELECT symbol, count_if(abs_pct_diff > 0.5) AS n_discrepant FROM recon
-                        GROUP BY 1) r ON r.symbol = c.symbol AND c.region <> 'us'
+                        GROUP BY 1) r ON r.symbol = c.symbol
              LEFT JOIN (SELECT symbol, count(*) AS n, count_if(n_components = 1) AS singles,
                                min(strategy) FILTER (n_components = 1) AS first_variant
-                        FROM variants GROUP BY 1) v ON v.symbol = c.symbol AND c.region <> 'us'"""),
+                        FROM variants GROUP BY 1) v ON v.symbol = c.symbol"""),
+    Entry("index_contents", "S14", "section:s documents:i",
+          lambda w: w.index_rows.groupBy("section").agg(F.count(F.lit(1)).alias("documents")),
+          """SELECT 'assets' AS section, count(*) AS documents FROM catalog
+             UNION ALL SELECT 'fx_decomposition', count(*) FROM fx
+             UNION ALL SELECT 'leaderboard', count(*) FROM board
+             UNION ALL SELECT 'overfitting', count(*) FROM overfit
+             UNION ALL SELECT 'recent_ingest_runs', least(count(*), 40) FROM audit
+             UNION ALL SELECT * FROM (VALUES ('combinations_index', 1), ('totals', 1), ('contents', 7))"""),
+    Entry("index_combinations", "S14", "mode:s limit_per_asset:i ranked_by:s",
+          lambda w: _section(w, "combinations_index", mode="mode", limit_per_asset="limit_per_asset",
+                             ranked_by="ranked_by"),
+          """SELECT 'full' AS mode, NULL AS limit_per_asset, 'oos_excess_return' AS ranked_by
+             FROM clock"""),
+    Entry("index_fx_decomposition", "S14 M7",
+          "symbol:s window_label:s usd_return:d6 local_return:d6 adr_end_ts:s",
+          lambda w: _section(w, "fx_decomposition", symbol="symbol", window_label="window_label",
+                             usd_return="usd_return", local_return="local_return",
+                             adr_end_ts="adr_end_ts"),
+          """SELECT symbol, window_label, usd_return, local_return,
+                    strftime(adr_end_ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS adr_end_ts FROM fx"""),
+    Entry("index_overfitting", "S14 A16",
+          "is_grand_total:b n_components:i n_variants:i oos_survival_rate:d6",
+          lambda w: _section(w, "overfitting", is_grand_total="is_grand_total",
+                             n_components="n_components", n_variants="n_variants",
+                             oos_survival_rate="oos_survival_rate"),
+          "SELECT * FROM overfit"),
+    Entry("index_leaderboard", "S14 M9",
+          "strategy:s asset_class:s region:s n_backtests:i median_sharpe:d6",
+          lambda w: _section(w, "leaderboard", strategy="strategy", asset_class="asset_class",
+                             region="region", n_backtests="n_backtests",
+                             median_sharpe="median_sharpe"),
+          "SELECT * FROM board"),
+    Entry("index_pipeline", "S14 A12 K1",
+          "section:s source:s symbol:s status:s finished_at:s bronze_rows:i",
+          lambda w: _union(*[
+              _section(w, name, source="source", symbol="symbol", status="status",
+                       finished_at="finished_at", bronze_rows="bronze_rows")
+              .withColumn("section", F.lit(name)) for name in ("totals", "recent_ingest_runs")]),
+          """SELECT 'recent_ingest_runs' AS section, source, symbol, status,
+                    regexp_replace(strftime(finished_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00',
+                                   '[.]000000', '') AS finished_at, NULL AS bronze_rows
+             FROM (SELECT * FROM audit ORDER BY started_at DESC, source, symbol, ingest_run_id LIMIT 40)
+             UNION ALL SELECT 'totals', NULL, NULL, NULL, NULL, count(*) FROM typed"""),
+    Entry("index_without_marts", "S14 S17", "name:s present:b n_listed:i no_summary:b", _tolerant,
+          """SELECT name, present, n AS n_listed, true AS no_summary FROM (VALUES
+                 ('combinations_index', true, 0), ('totals', true, 0), ('fx_decomposition', false, 0),
+                 ('leaderboard', false, 0), ('overfitting', false, 0),
+                 ('recent_ingest_runs', false, 0)) t(name, present, n)
+             UNION ALL SELECT 'assets', true, count(*), true FROM runs"""),
     Entry("index_budget", "K3", "budget:i severity:s documents:i listed:i", _budget,
           """SELECT budget, severity, count(*) AS documents, sum(n) AS listed
              FROM (SELECT symbol, count(*) AS n FROM lat GROUP BY 1),
