@@ -92,7 +92,10 @@ def ingest(
         audit = audit.unionByName(
             bronze.audit_rows(attempts, none, none, now), allowMissingColumns=True
         )
-    return materialise(audit, "audit")
+    named = F.concat_ws("|", *KEYS, F.coalesce("error", F.lit("")), now.cast("string"))
+    return materialise(
+        audit.withColumns({"ingest_run_id": F.sha2(named, 256), "started_at": now}), "audit"
+    )
 
 
 def _quarantined(gate: DataFrame) -> DataFrame:

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from tickloom.functions import scalars
 from tickloom.functions.series import largest_step
 from tickloom.plans import marts
-from tickloom.plans.daily import Scoring, daily_run
+from tickloom.plans.daily import Scoring, daily_run, ingest
 from tickloom.registry.adapters import PAIRS, Warehouse
 from tickloom.registry.spec import Entry
 from tickloom.session import fresh_path
 from tickloom.sources import bronze, catalog, feeds, store, tables
-from tickloom.sources.generations import Generations
+from tickloom.sources.generations import Generations, Snapshot
 
 BAR = "symbol:s ts:t page:i open:d6 high:d6 low:d6 close:d6 volume:d6"
 
@@ -251,26 +251,31 @@ DAILY_FEEDS = {
 }
 
 
-def _daily(w: Warehouse, root: str, first_venue, attempts=None, hours: int = 36) -> int:
-    """One day of the job over the pages of all four feeds."""
+def _daily_inputs(w: Warehouse, first_venue):
     responses = {kind: (parse, w.responses(kind)) for kind, parse in DAILY_FEEDS.items()}
     responses["coinbase"] = (feeds.coinbase_bars, first_venue)
+    return responses
+
+
+def _backfill():
+    return F.lit(dt.datetime(1990, 1, 1)).cast("timestamp")
+
+
+def _daily(w: Warehouse, root: str, first_venue) -> Snapshot:
+    """One day of the job over the pages of all four feeds."""
     scoring = Scoring(w.signals, w.variants, w.costs)
-    now = F.lit(w.as_of + dt.timedelta(hours=hours)).cast("timestamp")
-    start = F.lit(dt.datetime(1990, 1, 1)).cast("timestamp")
-    return daily_run(w.spark, root, responses, w.catalog, scoring, now, start, attempts)
+    now = F.lit(w.as_of + dt.timedelta(hours=36)).cast("timestamp")
+    daily_run(w.spark, root, _daily_inputs(w, first_venue), w.catalog, scoring, now, _backfill())
+    return Generations(w.spark, root).current()
 
 
 def _daily_runs(w: Warehouse):
-    """Runs of a second day: the first one stored all candles but those of the last year."""
+    """Runs of a day that finds a store filled until some years before it."""
     root = fresh_path(w.spark, "daily")
     pages = w.responses("coinbase")
-    early = pages.where(F.col("page") * 300 < (w.as_of - dt.datetime(1970, 1, 1)).days - 365)
-    _daily(w, root, early, hours=36 - 24 * 900)
-    number = _daily(w, root, pages)
-    snapshot = Generations(w.spark, root).current()
-    assert snapshot.number == number == 2
-    return snapshot.read("runs")
+    then = F.lit(w.as_of - dt.timedelta(days=900)).cast("timestamp")
+    ingest(w.spark, f"{root}/candles", _daily_inputs(w, pages), then, _backfill())
+    return _daily(w, root, pages).read("runs")
 
 
 def _daily_isolated(w: Warehouse):
@@ -284,8 +289,7 @@ def _daily_isolated(w: Warehouse):
     )
     marked = pages.join(newest.withColumn("hit", F.lit(True)), ["symbol", "page"], "left")
     damaged = marked.withColumn("response", F.when(F.col("hit"), zeroed).otherwise(F.col("response")))
-    _daily(w, root, damaged.drop("hit"))
-    snapshot = Generations(w.spark, root).current()
+    snapshot = _daily(w, root, damaged.drop("hit"))
     runs = snapshot.read("runs").groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_runs"), F.avg("total_return").alias("avg_return")
     )
@@ -439,7 +443,7 @@ ENTRIES = [
     Entry("daily_run_isolated", "Q13 B17 B27", "symbol:s bars:i n_runs:i avg_return:d6 reasons:s",
           _daily_isolated,
           """SELECT b.symbol, b.bars, r.n_runs, r.avg_return,
-                    CASE b.symbol WHEN '2-HIGH' THEN 'bad_price' END AS reasons
+                    CASE b.symbol WHEN '2-HIGH' THEN 'bad_price,bad_shape' END AS reasons
              FROM (SELECT symbol, count(*) AS bars FROM bars GROUP BY 1) b
              LEFT JOIN (SELECT symbol, count(*) AS n_runs, avg(total_return) AS avg_return FROM runs
                         WHERE symbol <> '2-HIGH' GROUP BY 1) r USING (symbol)"""),

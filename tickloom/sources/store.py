@@ -96,6 +96,7 @@ def append_candles(
         fresh = fresh.join(already_stored(stored, once), keys, "left_anti")
     # judged once: what is reported is what is written
     fresh = materialise(fresh, "fresh_candles")
-    dealt = fresh.repartition(*[F.col(c) for c in PARTITIONS], F.col("symbol"))
+    # few files a folder, and adaptive execution splits a folder that is large
+    dealt = fresh.hint("rebalance", *[F.col(c) for c in PARTITIONS])
     dealt.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
     return Appended(once, fresh)
