@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickloom.llm.common import fold, whole_text
 from tickloom.llm.ngrams import Distinct, ngram_ids
@@ -30,6 +31,8 @@ class Settings:
     #: Bounds of the two samples: training rows with the smallest hash of their id.
     fit_rows: int = 8_000
     calibration_rows: int = 2_000
+    #: Rows of every language that are in the samples at least, as far as it has them.
+    floor_rows: int = 100
     shards: int = 8
     epochs: int = 2
     alpha: float = 0.5
@@ -96,9 +99,21 @@ def learn(
 
 
 def _training(docs: DataFrame) -> DataFrame:
+    """doc_id, lang and text of the rows that teach."""
     return docs.filter("lang IS NOT NULL AND text IS NOT NULL").filter(
         fold("doc_id", 4) != 2
+    ).select("doc_id", F.col("lang").cast("string").alias("lang"), whole_text().alias("text"))
+
+
+def _chosen(rows: DataFrame, s: Settings) -> DataFrame:
+    """Ids of the bounded sample: the first by hash, and of every language the first ``floor_rows``."""
+    ids = rows.filter("doc_id IS NOT NULL").groupBy("lang", F.col("doc_id").alias("chosen_id")).agg(
+        F.xxhash64("chosen_id").alias("turn")
     )
+    first = ids.orderBy("turn", "chosen_id").limit(s.fit_rows + s.calibration_rows)
+    of_lang = Window.partitionBy("lang").orderBy("turn", "chosen_id")
+    floor = ids.withColumn("place", F.row_number().over(of_lang)).filter(F.col("place") <= s.floor_rows)
+    return first.select("chosen_id").unionByName(floor.select("chosen_id")).distinct()
 
 
 def _frequencies(rows: DataFrame, s: Settings) -> tuple[np.ndarray, int]:
@@ -123,7 +138,7 @@ def _frequencies(rows: DataFrame, s: Settings) -> tuple[np.ndarray, int]:
 def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     """Learn from text and lang of documents outside the held-out fold (crc32 of the id mod 4 = 2).
 
-    Rows with a null lang or text teach nothing. Without training rows the model knows no language.
+    Rows with a null lang or text teach nothing; those with a null id count for the frequencies only. Without training rows the model knows no language.
     """
     rows = _training(docs)
     languages = sorted(r[0] for r in rows.select("lang").distinct().collect())
@@ -133,23 +148,20 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     model = Model(settings, languages, idf, np.zeros((len(languages), size)))
     if len(languages) < 2:
         return model
-    chosen = (
-        rows.select(F.col("doc_id").alias("chosen_id"))
-        .orderBy(F.xxhash64("chosen_id"), "chosen_id")
-        .limit(settings.fit_rows + settings.calibration_rows)
-    )
+    chosen = _chosen(rows, settings)
     part = F.pmod(F.xxhash64(F.col("chosen_id"), F.lit("part")), F.lit(1 << 20))
     of_fit = settings.fit_rows / (settings.fit_rows + settings.calibration_rows)
-    # at most fit_rows + calibration_rows rows of three numbers
+    # at most fit_rows + calibration_rows rows, and floor_rows for each language, of three numbers
     chosen = chosen.select(
         "chosen_id",
         (part < int(of_fit * (1 << 20))).alias("fit"),
         F.pmod(part, F.lit(settings.shards)).alias("shard"),
     )
-    sample = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).select(
-        "fit", "shard", whole_text().alias("text"), F.col("lang").alias("lang"),
-        F.xxhash64("chosen_id").alias("turn"),
-    )
+    # of rows that share an id the least is taken, so the sample is no larger than the ids
+    met = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id"))
+    sample = met.groupBy("chosen_id", "fit", "shard").agg(F.min(F.struct("lang", "text")).alias("row")).select(
+        "fit", "shard", "row.text", "row.lang", F.xxhash64("chosen_id").alias("turn")
+    )
     number = {name: k for k, name in enumerate(languages)}
 
     def fit(shard: pd.DataFrame) -> pd.DataFrame:

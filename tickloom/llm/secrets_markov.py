@@ -148,13 +148,16 @@ def labelled_samples(docs: DataFrame, settings: Settings = Settings()) -> DataFr
     chosen = (
         docs.select(F.col("doc_id").alias("chosen_id"))
         .filter("chosen_id IS NOT NULL")
+        .distinct()
         .orderBy(F.xxhash64("chosen_id"), "chosen_id")
         .limit(settings.sample_docs)
-        .distinct()
-    )
-    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).select(
-        whole_text().alias("text")
     )
+    # of rows that share an id the least text is taken
+    all_texts = docs.select(F.col("doc_id").alias("text_id"), whole_text().alias("text"))
+    texts = (
+        all_texts.join(F.broadcast(chosen), F.col("text_id") == F.col("chosen_id"))
+        .groupBy("chosen_id").agg(F.min("text").alias("text")).select("text")
+    )
     digest = F.sha2("text", 256)
     base64 = F.base64(F.unhex(digest))
     drawn = F.array(
@@ -388,7 +391,8 @@ def digest(found: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame, mark: str = "[secret]", settings: Settings = Settings()) -> DataFrame:
     """The documents with every span (overlapping ones joined) replaced by ``mark``.
 
-    Columns stay; ``n_chars``, where there is one, is counted anew for changed texts.
+    Columns stay; ``n_chars``, where there is one, is counted anew for changed texts. Each row is
+    treated by itself, repeated and null ids included; a null text stays null.
     """
     text = F.col("doc.text")
     cut = F.aggregate(

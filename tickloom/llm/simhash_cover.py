@@ -23,6 +23,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickloom.llm.common import unions, whole_text
 from tickloom.session import materialise
@@ -50,7 +51,7 @@ def fingerprint(text: str, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of every row. Null and empty texts give 0."""
+    """doc_id, fp (the 64 bits as a signed long) and text_hash of every row. Null and empty texts give 0."""
 
     @F.pandas_udf("long")
     def of_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -58,7 +59,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             bits = np.fromiter(map(fingerprint, texts), np.uint64, len(texts))
             yield pd.Series(bits.view(np.int64))
 
-    return docs.select("doc_id", of_texts(whole_text()).alias("fp"))
+    return docs.select("doc_id", of_texts(whole_text()).alias("fp"), F.xxhash64(whole_text()).alias("text_hash"))
 
 
 def masks(radius: int) -> list[int]:
@@ -195,6 +196,13 @@ def near_duplicates(docs: DataFrame, radius: int = 3, bucket_rows: int = 20_000)
     one document; an empty table gives no rows. A null id never is the smallest, and its component
     has a null id only if no member has one. Columns other than doc_id and text are ignored.
     """
+    return _grouped(docs, radius, bucket_rows).select(
+        "doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id"
+    )
+
+
+def _grouped(docs: DataFrame, radius: int, bucket_rows: int) -> DataFrame:
+    """Rows of ``fingerprints`` with their component's root (a fingerprint) and smallest id."""
     prints = materialise(fingerprints(docs), "fingerprints")
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = materialise(components(links(distinct, radius, bucket_rows)), "roots")
@@ -203,24 +211,31 @@ def near_duplicates(docs: DataFrame, radius: int = 3, bucket_rows: int = 20_000)
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     least = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = known.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
-        "doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id"
-    )
+    named = known.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(named, "fp")
 
 
 def hex16(bits: Column) -> Column:
     return F.lpad(F.lower(F.hex(bits)), 16, "0")
 
 
-def one_per_group(docs: DataFrame, radius: int = 3) -> DataFrame:
-    """The documents with the smallest id of their component, all columns kept.
+def one_per_group(docs: DataFrame, radius: int = 3, bucket_rows: int = 20_000) -> DataFrame:
+    """One document of each component, all columns kept: the smallest id, then the least text hash.
 
-    Rows with a null id stay. Rows repeated under a kept id leave one.
+    Rows with a null id stay. Two texts under one id are two documents: each stays if it is the
+    first of its own component. Of rows that share id and text one stays, chosen by a hash of the
+    whole row, so a task that is run again chooses the same.
     """
-    ids = near_duplicates(docs.filter("doc_id IS NOT NULL"), radius)
-    kept = ids.filter("doc_id = component_id").select("doc_id").distinct()
-    alone = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    return alone.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(
-        docs.filter("doc_id IS NULL")
-    )
+    numbered = docs.filter("doc_id IS NOT NULL")
+    grouped = _grouped(numbered, radius, bucket_rows)
+    first = grouped.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    kept = first.select("first.doc_id", "first.text_hash").distinct()
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    rows = numbered.select(
+        F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64(whole_text()).alias("hash"),
+        F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("turn"),
+    )
+    alike = Window.partitionBy("id", "hash").orderBy("turn")
+    alone = rows.join(kept, (F.col("id") == F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")), "left_semi")
+    alone = alone.withColumn("place", F.row_number().over(alike)).filter("place = 1")
+    return alone.select("row.*").unionByName(docs.filter("doc_id IS NULL"))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import fold, whole_text
 from tickloom.llm.ngrams import Distinct, ngram_ids
+from tickloom.session import materialise
 
 
 @dataclass(frozen=True)
@@ -57,28 +58,33 @@ class Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """text and y of the bounded sample, outside the held-out fold."""
+    """text and y of the bounded sample, outside the held-out fold.
+
+    An id that is labelled more than once is toxic if any label says so; of rows that share an id
+    the least text is taken. So the sample has at most ``train_rows`` rows.
+    """
     chosen = (
         labels.select(
             F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("y"),
             fold("doc_id", 3).alias("fold"),
         )
         .filter("fold <> 1 AND y IN (0, 1) AND label_id IS NOT NULL")
-        .orderBy(F.xxhash64("label_id"), "label_id", "y")
+        .groupBy("label_id").agg(F.max("y").alias("y"))
+        .orderBy(F.xxhash64("label_id"), "label_id")
         .limit(settings.train_rows)
     )
+    texts = docs.select(F.col("doc_id").alias("text_id"), whole_text().alias("text"))
     # at most train_rows rows of two numbers
-    return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select(
-        whole_text().alias("text"), "y"
-    )
+    met = texts.join(F.broadcast(chosen), F.col("text_id") == F.col("label_id"))
+    return met.groupBy("label_id").agg(F.min("text").alias("text"), F.max("y").alias("y")).select("text", "y")
 
 
-def _counts(rows: DataFrame, settings: Settings) -> pd.DataFrame:
+def _counts(rows: DataFrame, settings: Settings) -> DataFrame:
     """Texts with each n-gram of enough texts, by class; id -1 counts the texts themselves."""
 
     def count(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         distinct = Distinct(settings.bits)
-        sums = np.zeros((2, (1 << settings.bits) + 1), np.int64)
+        sums = np.zeros((2, (1 << settings.bits) + 1), np.int32)
         for frame in frames:
             for text, y in frame.itertuples(index=False):
                 sums[y, distinct(ngram_ids(text, settings.sizes, settings.bits))] += 1
@@ -88,11 +94,12 @@ def _counts(rows: DataFrame, settings: Settings) -> pd.DataFrame:
         yield pd.DataFrame({"id": ids, "others": sums[0, seen], "toxic": sums[1, seen]})
 
     counted = rows.mapInPandas(count, "id long, others long, toxic long")
-    return counted.groupBy("id").agg(
+    summed = counted.groupBy("id").agg(
         F.sum("others").alias("others"), F.sum("toxic").alias("toxic")
     ).filter(
         (F.col("id") < 0) | (F.col("others") + F.col("toxic") >= settings.least_texts)
-    ).toPandas()
+    )
+    return materialise(summed, "ngram_counts")
 
 
 def _fit(groups: list[np.ndarray], y: np.ndarray, r: np.ndarray, s: Settings):
@@ -122,28 +129,27 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 
     Without rows of both classes the model is the smoothed share of toxic rows.
     """
-    rows = training_rows(docs, labels, settings)
+    # read for the counts and for the fit
+    rows = materialise(training_rows(docs, labels, settings), "toxic_sample")
     counts = _counts(rows, settings)
-    total = counts[counts["id"] < 0]
-    others, toxic = int(total["others"].sum()), int(total["toxic"].sum())
+    total = counts.filter("id < 0").agg(F.sum("others"), F.sum("toxic")).first()
+    others, toxic = int(total[0] or 0), int(total[1] or 0)
     if not others or not toxic:
         share = (toxic + 1) / (others + toxic + 2)
         return Model(settings, float(np.log(share / (1 - share))))
-    counts = counts[counts["id"] >= 0]
     n = others + toxic
-    p = (counts["toxic"] + settings.smoothing * toxic / n) / toxic
-    q = (counts["others"] + settings.smoothing * others / n) / others
-    r = np.log(p / q).to_numpy()
-    many = (counts["toxic"] + counts["others"]).to_numpy() >= settings.least_texts
-    use = many & (np.abs(r) >= settings.least_ratio)
-    ids, r = counts["id"].to_numpy()[use], r[use]
-    by_id = np.argsort(ids)
-    ids, r = ids[by_id], r[by_id]
-    place = np.full(1 << settings.bits, -1, np.int32)
-    place[ids] = np.arange(len(ids))
+    p = (F.col("toxic") + settings.smoothing * toxic / n) / toxic
+    q = (F.col("others") + settings.smoothing * others / n) / others
+    telling = counts.filter("id >= 0").select("id", F.log(p / q).alias("r"))
+    # the few n-grams that tell the classes apart
+    kept = telling.filter(F.abs("r") >= settings.least_ratio).orderBy("id").toPandas()
+    ids, r = kept["id"].to_numpy(np.int64), kept["r"].to_numpy(float)
 
     def select(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         distinct = Distinct(settings.bits)
+        # built in the task: only the ids travel
+        place = np.full(1 << settings.bits, -1, np.int32)
+        place[ids] = np.arange(len(ids))
         for frame in frames:
             kept = []
             for text in frame["text"]:
@@ -187,6 +193,9 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents that are not rejected, with all their columns."""
+    """The documents that are not rejected, with all their columns, whatever their names.
+
+    Each row is judged by itself, repeated and null ids included; a null text scores as empty.
+    """
     model = train(docs, labels, settings)
     return docs.filter(scorer(model)(whole_text()) < settings.threshold)

@@ -259,8 +259,14 @@ def _short_hits(keyed: DataFrame, short: DataFrame) -> DataFrame:
 def without_benchmark(
     docs: DataFrame, items: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
+    """The documents that are not contaminated, with all their columns, whatever their names.
+
+    Each row is judged by its text; rows that share an id do not share a verdict.
+    """
     dirty = contamination(docs, items, settings).filter("contaminated")
-    dirty = dirty.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(whole_text()) == F.col("_hash"))
-    return docs.join(dirty, same, "left_anti")
+    dirty = dirty.select(F.col("doc_id").alias("dirty_id"), F.col("text_hash").alias("dirty_hash")).distinct()
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64(whole_text()).alias("hash")
+    )
+    same = F.col("id").eqNullSafe(F.col("dirty_id")) & (F.col("hash") == F.col("dirty_hash"))
+    return rows.join(dirty, same, "left_anti").select("row.*")
