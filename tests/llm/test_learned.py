@@ -37,28 +37,48 @@ def test_best_fit_takes_the_least_room():
         assert sorted(width - sum(lengths[i] for i in r) for r in rows) == sorted(rooms)
 
 
-def test_matrices_round_trip(spark, tmp_path):
-    docs = edges(spark)
-    packed = pack_tokens(docs, width=64, shard_tokens=100)
-    write_matrices(packed, str(tmp_path / "out"), width=64, rows=4)
-    kept = {r.sequence_id: r for r in spark.read.parquet(str(tmp_path / "out/segments")).collect()}
-    back = read_matrices(spark, str(tmp_path / "out")).collect()
-    assert sorted(r.sequence_id for r in back) == list(range(len(kept)))
+def packed_ids(rows, width):
+    """Ids by (document, start) from packed rows, which are checked for their own form."""
     pieces: dict = {}
-    for r in back:
-        ends, k = r.cu_seqlens, kept[r.sequence_id]
-        assert len(r.ids) == 64 and all(x == 50256 for x in r.ids[ends[-1] :])
-        for a, b, d, s in zip(ends, ends[1:], k.doc_ids, k.starts, strict=False):
+    for r in rows:
+        ends = r.cu_seqlens
+        assert len(r.ids) == width and all(x == 50256 for x in r.ids[ends[-1] :]) and ends[0] == 0
+        assert r.positions == [i for a, b in zip(ends, ends[1:], strict=False) for i in range(b - a)]
+        for a, b, d, s in zip(ends, ends[1:], r.doc_ids, r.starts, strict=False):
             pieces.setdefault((d, s), []).append(r.ids[a:b])
-    encoder = Encoder()
-    want: dict = {}
-    for doc_id, text in EDGES:
+    return {k: sorted(v) for k, v in pieces.items()}
+
+
+def cut_ids(pairs, width):
+    encoder, want = Encoder(), {}
+    for doc_id, text in pairs:
         ids = [*encoder.ids(text or "").tolist(), 50256]
-        for a in range(0, len(ids), 64):
-            want.setdefault((doc_id, a), []).append(ids[a : a + 64])
-    assert pieces == want
-    for r in packed.collect():
-        assert r.positions == [i for a, b in zip(r.cu_seqlens, r.cu_seqlens[1:], strict=False) for i in range(b - a)]
+        for a in range(0, len(ids), width):
+            want.setdefault((doc_id, a), []).append(ids[a : a + width])
+    return {k: sorted(v) for k, v in want.items()}
+
+
+def test_matrices_round_trip(spark, tmp_path):
+    docs = edges(spark).repartition(3)
+    write_matrices(docs, str(tmp_path / "out"), width=64, shard_tokens=100, rows=4)
+    back = read_matrices(spark, str(tmp_path / "out")).collect()
+    assert sorted(r.sequence_id for r in back) == list(range(len(back)))
+    assert packed_ids(back, 64) == cut_ids(EDGES, 64)
+    # the stored blocks by themselves, as a reader without Spark would take them
+    for b in spark.read.parquet(str(tmp_path / "out")).collect():
+        assert len(b.ids) == len(b.positions) == 4 * b.n_rows * b.width and b.n_rows <= 4
+        segments = np.frombuffer(b.segments, "<i4")
+        assert len(segments) == b.n_rows and 4 * (segments.sum() + b.n_rows) == len(b.cu_seqlens)
+    assert pack_tokens(docs.limit(0)).count() == 0
+
+
+def test_packing_of_a_whole_table(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    rows = pack_tokens(docs).collect()
+    assert sorted(r.sequence_id for r in rows) == list(range(len(rows)))
+    assert packed_ids(rows, 2048) == cut_ids([(r.doc_id, r.text) for r in docs.collect()], 2048)
+    used = sum(r.cu_seqlens[-1] for r in rows)
+    assert used / (2048 * len(rows)) > 0.97
 
 
 def test_toxicity_on_held_out_rows(spark):

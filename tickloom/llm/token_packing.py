@@ -7,10 +7,12 @@ the least one that is large enough in ``log2(width)`` steps.
 
 A shard is a bounded number of tokens of one task, so memory is bounded, nothing is shuffled to
 pack, and no source or document is gathered anywhere. Shards are cut by stored order alone: a task
-that is run again packs the same rows. Row numbers are dense: counts per task give each task's base.
+that is run again packs the same rows.
 
-Each packed row has the ids padded to the width, the cumulative lengths of its segments (from 0; the
-last one is where the padding starts) and positions that begin anew at every segment.
+The packed rows are written once, as blocks of binary matrices: ids padded to the width, positions
+that begin anew at every segment, the cumulative lengths of the segments (from 0; the last one is
+where the padding starts), and for each segment its document and place in it. A block knows its task
+and its first row there; counts per task give dense numbers when the blocks are read.
 """
 
 from __future__ import annotations
@@ -18,31 +20,26 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tickloom.llm.common import whole_text
 from tickloom.llm.tokens import Encoder
-from tickloom.session import materialise
-
-PACKED = T.StructType(
-    [
-        T.StructField("task", T.LongType()),
-        T.StructField("row", T.LongType()),
-        T.StructField("ids", T.ArrayType(T.IntegerType())),
-        T.StructField("cu_seqlens", T.ArrayType(T.IntegerType())),
-        T.StructField("doc_ids", T.ArrayType(T.LongType())),
-        T.StructField("starts", T.ArrayType(T.LongType())),
-    ]
-)
+from tickloom.session import fresh_path
 
-#: Rows of a stored matrix: all numbers little-endian, 32 bits.
+#: Blocks of rows: all numbers little-endian, of 32 bits but for ``doc_ids`` and ``starts`` (64).
+#: ``ids`` and ``positions`` are row-major, ``n_rows`` by ``width``. ``segments`` counts each row's
+#: segments; ``cu_seqlens`` joins their cumulative lengths, each row's from 0; ``known`` has a byte
+#: for each segment, 0 where the document has no id.
 MATRIX = (
-    "first_sequence bigint, n_rows int, width int, ids binary, positions binary, "
-    "segments binary, cu_seqlens binary"
+    "task bigint, first_row bigint, n_rows int, width int, ids binary, positions binary, "
+    "segments binary, cu_seqlens binary, doc_ids binary, known binary, starts binary"
+)
+ROWS = (
+    "sequence_id bigint, ids array<int>, cu_seqlens array<int>, positions array<int>, "
+    "doc_ids array<bigint>, starts array<bigint>"
 )
 
 
@@ -101,137 +98,169 @@ def best_fit(lengths: Sequence[int], width: int) -> list[list[int]]:
     return rows
 
 
-def pack_tokens(
+class Block:
+    """Rows of a matrix being filled."""
+
+    def __init__(self, width: int, rows: int, pad_id: int):
+        self._width, self._rows, self._pad = width, rows, pad_id
+        self._counting = np.arange(width, dtype="<i4")
+        self._begin()
+
+    def _begin(self) -> None:
+        self._ids = np.full((self._rows, self._width), self._pad, "<i4")
+        self._positions = np.zeros((self._rows, self._width), "<i4")
+        self.n, self._segments, self._ends = 0, [], []
+        self._docs: list[int] = []
+        self._known = bytearray()
+        self._starts: list[int] = []
+
+    @property
+    def full(self) -> bool:
+        return self.n == self._rows
+
+    def add(self, group: Iterable[tuple[int | None, int, np.ndarray]]) -> None:
+        """One row of (document, ids before, ids)."""
+        end, count = 0, 0
+        self._ends.append(0)
+        for doc, start, ids in group:
+            stop = end + len(ids)
+            self._ids[self.n, end:stop] = ids
+            self._positions[self.n, end:stop] = self._counting[: len(ids)]
+            end, count = stop, count + 1
+            self._ends.append(end)
+            self._docs.append(0 if doc is None else doc)
+            self._known.append(doc is not None)
+            self._starts.append(start)
+        self._segments.append(count)
+        self.n += 1
+
+    def take(self, task: int, first_row: int) -> pa.RecordBatch:
+        """The rows as one stored block; begins anew."""
+        columns = {
+            "task": (task, pa.int64()), "first_row": (first_row, pa.int64()),
+            "n_rows": (self.n, pa.int32()), "width": (self._width, pa.int32()),
+            "ids": (self._ids[: self.n].tobytes(), pa.binary()),
+            "positions": (self._positions[: self.n].tobytes(), pa.binary()),
+            "segments": (np.array(self._segments, "<i4").tobytes(), pa.binary()),
+            "cu_seqlens": (np.array(self._ends, "<i4").tobytes(), pa.binary()),
+            "doc_ids": (np.array(self._docs, "<i8").tobytes(), pa.binary()),
+            "known": (bytes(self._known), pa.binary()),
+            "starts": (np.array(self._starts, "<i8").tobytes(), pa.binary()),
+        }
+        self._begin()
+        return pa.record_batch([pa.array([v], t) for v, t in columns.values()], names=list(columns))
+
+
+def matrices(
     docs: DataFrame,
     width: int = 2048,
     tokenizer: str = "byte_bpe_50k.json",
     end_id: int = 50256,
     pad_id: int = 50256,
     shard_tokens: int = 1 << 22,
+    rows: int = 256,
 ) -> DataFrame:
-    """Packed rows of all documents: sequence_id, ids, cu_seqlens, positions, doc_ids, starts.
-
-    ``doc_ids`` and ``starts`` name, for each segment, its document and how many of that document's
-    ids came before. Each row of ``docs`` is a document of its own, repeated and null ids included;
-    a null or empty text is its end token alone; equal lengths are placed in stored order. An empty
-    table gives no rows; columns other than doc_id and text are ignored.
-    """
-    if width < 1 or shard_tokens < 1:
-        raise ValueError("width and shard_tokens must be positive")
+    """Packed rows of all documents, in blocks of at most ``rows``; see ``MATRIX``."""
+    if width < 1 or shard_tokens < 1 or rows < 1:
+        raise ValueError("width, shard_tokens and rows must be positive")
 
-    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, row, task = Encoder(tokenizer), 0, 0
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, block, done, task = Encoder(tokenizer), Block(width, rows, pad_id), 0, 0
         held: list[tuple[int | None, int, np.ndarray]] = []
         size = 0
 
-        def rows(groups: Iterable[list[tuple[int | None, int, np.ndarray]]]) -> pd.DataFrame:
-            nonlocal row
-            out = []
+        def shard() -> Iterator[list[tuple[int | None, int, np.ndarray]]]:
+            for places in best_fit([len(x) for _, _, x in held], width):
+                yield [held[i] for i in places]
+
+        def placed(groups: Iterable) -> Iterator[pa.RecordBatch]:
+            nonlocal done
             for group in groups:
-                ids = np.full(width, pad_id, np.int32)
-                ends = np.cumsum([0, *(len(x) for _, _, x in group)]).astype(np.int32)
-                ids[: ends[-1]] = np.concatenate([x for _, _, x in group])
-                out.append((task, row, ids, ends, [d for d, _, _ in group], [s for _, s, _ in group]))
-                row += 1
-            return pd.DataFrame(out, columns=PACKED.fieldNames())
-
-        def shard() -> pd.DataFrame:
-            placed = best_fit([len(x) for _, _, x in held], width)
-            return rows([held[i] for i in places] for places in placed)
-
-        for frame in frames:
-            for doc_id, text, at in frame.itertuples(index=False):
-                task, doc = at, None if pd.isna(doc_id) else int(doc_id)
-                ids = np.append(encoder.ids(text), np.uint32(end_id)).astype(np.int32)
+                block.add(group)
+                if block.full:
+                    done += rows
+                    yield block.take(task, done - rows)
+
+        for batch in batches:
+            for doc, text, at in zip(*(batch.column(i) for i in range(3)), strict=True):
+                task, doc = at.as_py(), doc.as_py()
+                ids = np.append(encoder.ids(text.as_py()), np.uint32(end_id)).astype(np.int32)
                 whole = len(ids) // width * width
-                if whole:
-                    yield rows([(doc, a, ids[a : a + width])] for a in range(0, whole, width))
+                yield from placed([(doc, a, ids[a : a + width])] for a in range(0, whole, width))
                 if whole < len(ids):
                     held.append((doc, whole, ids[whole:]))
                     size += len(ids) - whole
                 if size >= shard_tokens:
-                    yield shard()
-                    held, size = [], 0
-        if held:
-            yield shard()
+                    yield from placed(shard())
+                    held.clear()
+                    size = 0
+        yield from placed(shard())
+        if block.n:
+            yield block.take(task, done)
 
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         whole_text().alias("text"),
         F.spark_partition_id().cast("long").alias("task"),
     )
-    packed = materialise(narrow.mapInPandas(run, PACKED), "packed_rows")
-    counts = packed.groupBy("task").agg(F.count("*").alias("n"))
-    # one row for each task of the scan
-    bases = counts.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("base"))
-    ends = F.col("cu_seqlens")
-    sizes = F.zip_with(F.slice(ends, F.lit(2), F.size(ends) - 1), ends, lambda b, a: b - a)
-    sizes = F.filter(sizes, lambda n: n.isNotNull())
-    return packed.join(bases, "task").select(
-        (F.col("base") + F.col("row")).alias("sequence_id"),
-        "ids",
-        "cu_seqlens",
-        F.flatten(F.transform(sizes, lambda n: F.sequence(F.lit(0), n - 1))).alias("positions"),
-        "doc_ids",
-        "starts",
-    )
+    return narrow.mapInArrow(run, MATRIX)
 
 
-def matrices(packed: DataFrame, width: int = 2048, rows: int = 256) -> DataFrame:
-    """Blocks of ``rows`` consecutive sequences as binary matrices; see ``MATRIX``.
-
-    ``ids`` and ``positions`` are row-major, ``n_rows`` by ``width`` (positions are 0 in the
-    padding). ``segments`` counts each row's segments, ``cu_seqlens`` joins their cumulative
-    lengths, each row's from 0.
-    """
-
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("sequence_id")
-        positions = np.zeros((len(frame), width), "<i4")
-        for i, p in enumerate(frame["positions"]):
-            positions[i, : len(p)] = p
-        return pd.DataFrame(
-            {
-                "first_sequence": [int(frame["sequence_id"].iloc[0])],
-                "n_rows": [len(frame)],
-                "width": [width],
-                "ids": [np.stack(list(frame["ids"])).astype("<i4").tobytes()],
-                "positions": [positions.tobytes()],
-                "segments": [frame["cu_seqlens"].map(len).to_numpy("<i4").tobytes()],
-                "cu_seqlens": [np.concatenate(list(frame["cu_seqlens"])).astype("<i4").tobytes()],
-            }
-        )
-
-    # a group has at most ``rows`` sequences
-    narrow = packed.select("sequence_id", "ids", "positions", "cu_seqlens")
-    return narrow.groupBy(F.floor(F.col("sequence_id") / rows).alias("block")).applyInPandas(run, MATRIX)
-
-
-def write_matrices(packed: DataFrame, path: str, width: int = 2048, rows: int = 256) -> None:
-    """Write the matrices, and beside them which document each segment comes from."""
-    packed = materialise(packed, "packed")
-    matrices(packed, width, rows).write.mode("errorifexists").parquet(f"{path}/matrices")
-    packed.select("sequence_id", "doc_ids", "starts").write.mode("errorifexists").parquet(
-        f"{path}/segments"
-    )
+def write_matrices(docs: DataFrame, path: str, **options) -> None:
+    """Pack ``docs`` (options as of ``matrices``) and write the blocks."""
+    matrices(docs, **options).write.mode("errorifexists").parquet(path)
 
 
 def read_matrices(spark: SparkSession, path: str) -> DataFrame:
-    """sequence_id, ids and cu_seqlens back from ``write_matrices``."""
-
-    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for first, n, width, ids, segments, ends in frame.itertuples(index=False):
-                cuts = np.cumsum(np.frombuffer(segments, "<i4"))[:-1]
-                yield pd.DataFrame(
-                    {
-                        "sequence_id": range(first, first + n),
-                        "ids": list(np.frombuffer(ids, "<i4").reshape(n, width)),
-                        "cu_seqlens": np.split(np.frombuffer(ends, "<i4"), cuts),
-                    }
-                )
-
-    stored = spark.read.parquet(f"{path}/matrices")
-    return stored.select("first_sequence", "n_rows", "width", "ids", "segments", "cu_seqlens").mapInPandas(
-        run, "sequence_id bigint, ids array<int>, cu_seqlens array<int>"
-    )
+    """The packed rows back from the stored blocks: ``ROWS``, with dense ``sequence_id``."""
+    stored = spark.read.schema(MATRIX).parquet(path)
+    counts = stored.groupBy("task").agg(F.sum("n_rows").alias("n"))
+    # two numbers for each task of the scan that packed: under 32 MB for a million tasks
+    bases = counts.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("base"))
+    numbered = stored.join(F.broadcast(bases), "task").select(
+        (F.col("base") + F.col("first_row")).alias("first"), "n_rows", "width", "ids", "positions",
+        "segments", "cu_seqlens", "doc_ids", "known", "starts",
+    )
+
+    def lists(offsets: np.ndarray, values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+                n, width = row["n_rows"], row["width"]
+                ids, positions = (np.frombuffer(row[c], "<i4") for c in ("ids", "positions"))
+                segments, ends = (np.frombuffer(row[c], "<i4") for c in ("segments", "cu_seqlens"))
+                of_segment = np.concatenate(([0], np.cumsum(segments)))
+                of_end = of_segment + np.arange(n + 1)
+                # positions end where the last segment does
+                used = ends[of_end[1:] - 1]
+                inside = np.arange(width) < used[:, None]
+                absent = np.frombuffer(row["known"], np.uint8) == 0
+                columns = [
+                    pa.array(np.arange(row["first"], row["first"] + n)),
+                    lists(np.arange(n + 1) * width, pa.array(ids)),
+                    lists(of_end, pa.array(ends)),
+                    lists(np.concatenate(([0], np.cumsum(used))), pa.array(positions.reshape(n, width)[inside])),
+                    lists(of_segment, pa.array(np.frombuffer(row["doc_ids"], "<i8"), mask=absent)),
+                    lists(of_segment, pa.array(np.frombuffer(row["starts"], "<i8"))),
+                ]
+                yield pa.record_batch(columns, names=[c.split(" ")[0] for c in ROWS.split(", ")])
+
+    return numbered.mapInArrow(run, ROWS)
+
+
+def pack_tokens(docs: DataFrame, **options) -> DataFrame:
+    """Packed rows of all documents: sequence_id, ids, cu_seqlens, positions, doc_ids, starts.
+
+    They are written as matrices in the shared folder and read from there. ``doc_ids`` and ``starts``
+    name, for each segment, its document and how many of that document's ids came before. Each row
+    of ``docs`` is a document of its own, repeated and null ids included; a null or empty text is its
+    end token alone; equal lengths are placed in stored order. An empty table gives no rows; columns
+    other than doc_id and text are ignored. ``options`` are those of ``matrices``.
+    """
+    spark = docs.sparkSession
+    path = fresh_path(spark, "matrices")
+    write_matrices(docs, path, **options)
+    return read_matrices(spark, path)
