@@ -316,3 +316,9 @@ def test_random_strings_inside_longer_runs(spark, small_dir):
     for doc_id, keys in {1: [key], 2: [key], 3: [key, other], 4: []}.items():
         assert len(found[doc_id]) == len(keys)
         assert all(k in v for k, v in zip(keys, found[doc_id], strict=True))
+
+
+def test_rows_of_one_id_get_half_of_their_own_length(spark):
+    rows = [(1, "ab"), (1, "x" * 100), (2, "0123456789" * 20)]
+    out = {r.n_chars: r.edited_sha256 for r in compare_edited(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert out[2] == plain.sha("a0") and out[100] == plain.sha("x" * 50 + ("0123456789" * 20)[:50])

@@ -206,23 +206,24 @@ def compare_edited(docs: DataFrame, settings: Settings = Settings()) -> DataFram
 
     A null text is empty; a text without any term is its own fingerprint, so such texts are alike if
     equal. A null id comes first in the order. Rows that share an id are edited
-    each by itself and count as one neighbour (the longest length, the least text). Other columns
+    each by itself, by half of its own length, and count as one neighbour (the least text). Other columns
     are ignored; an empty table gives no rows; a single document follows itself.
     """
     terms = lexicon(docs, settings)
-    prints = docs.select(
-        "doc_id", whole_text().alias("text"),
-    ).withColumn("parts", fingerprint(F.col("text"), terms, settings))
+    # only texts and ids move to their place in the ring; a fingerprint is worked out on either side
+    # of the next exchange rather than carried through both
+    texts = docs.select("doc_id", whole_text().alias("text"))
     ring = materialise(neighbours(docs), "neighbours")
-    placed = prints.join(ring, F.col("doc_id").eqNullSafe(F.col("id")))
-    heads = (
-        placed.groupBy(F.col("prev_id"))
-        .agg(F.min(F.struct(F.left("text", F.col("prev_half")).alias("head"), "parts")).alias("next"))
-    )
+    parts = fingerprint(F.col("text"), terms, settings).alias("parts")
+    placed = texts.join(ring, F.col("doc_id").eqNullSafe(F.col("id"))).select(
+        "prev_id", F.left("text", F.col("prev_half")).alias("head"), parts
+    )
+    heads = placed.groupBy("prev_id").agg(F.min(F.struct("head", "parts")).alias("next"))
     n = F.length("text")
-    edited = F.concat(F.left(F.col("text"), n - F.floor(n / 2).cast("int")), F.col("next.head"))
-    both = prints.join(heads, F.col("doc_id").eqNullSafe(F.col("prev_id"))).select(
-        "doc_id", n.cast("long").alias("n_chars"), "parts", F.col("next.parts").alias("next_parts"),
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.left(F.col("text"), n - half), F.left(F.col("next.head"), half))
+    both = texts.join(heads, F.col("doc_id").eqNullSafe(F.col("prev_id"))).select(
+        "doc_id", n.cast("long").alias("n_chars"), parts, F.col("next.parts").alias("next_parts"),
         edited.alias("edited"),
     )
     both = both.withColumn("edited_parts", fingerprint(F.col("edited"), terms, settings))
