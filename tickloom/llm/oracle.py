@@ -115,3 +115,34 @@ ranked AS (
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 10
 """
+
+
+def _words(text: str) -> str:
+    return (
+        f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), "
+        r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    )
+
+
+WINNOWING = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_words('text')} AS w FROM documents),
+items AS (SELECT item_id::VARCHAR AS item, {_words('text')} AS w FROM benchmark),
+spans AS (
+  SELECT DISTINCT item, least(13, len(w)) AS size, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS span
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM spans),
+windows AS (
+  SELECT rid, size, i, array_to_string(w[i:i + size - 1], ' ') AS span
+  FROM (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes)),
+hits AS (SELECT rid, i, size, item FROM windows JOIN spans USING (size, span)),
+covered AS (
+  SELECT rid, count(DISTINCT p) AS n_hit
+  FROM (SELECT rid, unnest(range(i, i + size)) AS p FROM (SELECT DISTINCT rid, i, size FROM hits)) GROUP BY rid),
+named AS (
+  SELECT rid, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+  FROM hits GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)
+"""

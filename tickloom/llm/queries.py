@@ -86,6 +86,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op6_winnowing": oracle.WINNOWING,
     "op11_merkle_manifest": oracle.MERKLE,
     "op13_divergence_audit": oracle.DIVERGENCE,
 }
