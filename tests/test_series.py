@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.walk import bars, frame, wave
-from tickloom.functions import ranking
+from tickloom.functions import ranking, series
 from tickloom.functions.ranking import exact_median, keep_recent
 from tickloom.functions.series import (
     chunk_order,
@@ -145,3 +145,19 @@ def test_exact_median_orders_only_small_cells(spark):
     finally:
         ranking._inside = searched
     assert seen[0] == 20_000 and seen[-1] <= 200 and len(seen) == 3
+
+
+@pytest.mark.parametrize("seconds", [60, 3_600, 86_400])
+def test_slots_follow_the_size_of_the_bars(spark, seconds):
+    """No key has more bars in a slot than in a chunk, whatever the distance of bars."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [("A", g, start + dt.timedelta(seconds=seconds * i), float(i))
+            for g, n in (("fine", 3_000), ("short", 3)) for i in range(n)]
+    df = spark.createDataFrame(rows, "symbol string, granularity string, ts timestamp, close double")
+    keys = ("symbol", "granularity")
+    assert series.spacing(df, keys) == seconds
+    slots = df.groupBy(*keys, series.slot_of("ts", seconds, 100)).count()
+    assert slots.agg(F.max("count")).first()[0] <= 100
+    out = number_bars(df, keys, bar_seconds=None, chunk_bars=100)
+    assert out.where("rn <> close").count() == 0
+    assert {(r.granularity, r.n) for r in out.collect()} == {("fine", 3_000), ("short", 3)}

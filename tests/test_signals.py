@@ -6,11 +6,14 @@ from tickloom.operators.indicators import price_changes
 from tickloom.functions.series import chunk_order, number_bars, spread
 from tickloom.operators.signals import (
     DEFAULT_SIGNALS,
+    Recursion,
+    Signal,
     align_external,
     assert_bars,
     assert_binary,
     configure,
     cutler_rsi,
+    known_signals,
     register,
     resolve_signals,
     signal_base,
@@ -143,3 +146,38 @@ def test_input_checks(spark):
     outside = df.select("symbol", "ts", F.lit(1).alias("signal")).where("close < 3")
     good, rejects = align_external(df, outside)
     assert good.count() == 2 and [r.reason for r in rejects.collect()] == ["no signal for bar"]
+
+
+def overshoot(params):
+    """A signal of our own: a damped oscillator driven by the close, long while it is above zero."""
+    damp = params["damp"]
+    recursion = Recursion(
+        matrix=((1.0, 0.1), (-0.1, damp)),
+        inputs=lambda: (F.lit(0.0), F.col("close") - F.col("close0")),
+        decide=lambda state: state[0] > 0,
+    )
+    return Signal("overshoot", params, 5, 0, "linear", recursion=recursion)
+
+
+@pytest.mark.parametrize("chunk", [3, 16, 4096])
+def test_a_signal_of_ones_own_over_chunks(spark, chunk):
+    if "overshoot" not in known_signals():
+        register("overshoot")(overshoot)
+    signals = configure([{"name": "overshoot", "params": {"damp": 0.8}}])
+    series = {s: wave(n, shift=i) for i, (s, n) in enumerate({"A": 61, "B": 1, "C": 16}.items())}
+    df = frame(spark, *[bars(c, s) for s, c in series.items()]).repartition(3)
+    out = resolve_signals(signal_base(df, signals, chunk_bars=chunk), signals, chunk_bars=chunk)
+    got = {(r.symbol, r.rn): r.sig_overshoot for r in out.collect()}
+    for symbol, closes in series.items():
+        x, v = 0.0, 0.0
+        for i, close in enumerate(closes):
+            x, v = x + 0.1 * v, -0.1 * x + 0.8 * v + close - closes[0]
+            assert got[symbol, i] == int(x > 0), (symbol, i)
+    assert {0, 1} == set(got.values())
+
+
+def test_own_signals_are_scored_beside_built_in_ones(spark):
+    signals = [overshoot({"damp": 0.8}), *configure([{"name": "sma_cross", "params": {"fast": 2, "slow": 3}}])]
+    out = resolve_signals(signal_base(frame(spark, bars(wave(40))), signals), signals)
+    assert {"sig_overshoot", "sig_sma_cross"} <= set(out.columns)
+    assert not [c for c in out.columns if c.startswith(("z_", "in_", "x_", "_"))]

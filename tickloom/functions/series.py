@@ -23,7 +23,18 @@ CHUNK_BARS = 4096
 DAY_SECONDS = 86_400
 
 
-def slot_of(ts: str, bar_seconds: int = DAY_SECONDS, chunk_bars: int = CHUNK_BARS) -> Column:
+def spacing(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> float:
+    """Seconds between bars on the densest day of any key (one number, counted map-side).
+
+    Slots of ``chunk_bars`` times this length hold no more bars than a chunk, as far as bars are
+    evenly spread over a day. Keys may mix bar sizes, with the granularity as one of them.
+    """
+    day = F.floor(F.unix_seconds(F.col(ts)) / DAY_SECONDS)
+    counted = df.groupBy(*keys, day.alias("_day")).agg(F.count(F.lit(1)).alias("_rows"))
+    return DAY_SECONDS / max(counted.agg(F.max("_rows")).first()[0] or 1, 1)
+
+
+def slot_of(ts: str, bar_seconds: float = DAY_SECONDS, chunk_bars: int = CHUNK_BARS) -> Column:
     """Fixed time slot of a bar; unique bar opens bound a slot to ``chunk_bars`` rows per key."""
     return F.floor(F.unix_seconds(F.col(ts)) / F.lit(bar_seconds * chunk_bars)).cast("long")
 
@@ -33,18 +44,22 @@ def number_bars(
     keys: Sequence[str] = ("symbol",),
     ts: str = "ts",
     *,
-    bar_seconds: int = DAY_SECONDS,
+    bar_seconds: float | None = DAY_SECONDS,
     chunk_bars: int = CHUNK_BARS,
     firsts: Mapping[str, str] | None = None,
     totals: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add ``rn`` (0-based position by ``ts``) and ``n`` (bars of the key).
 
+    ``bar_seconds`` is the least distance of two bars of a key; None takes it from the data, for
+    bars of any size (see ``spacing``).
     ``firsts`` maps new column -> column whose value at the key's first bar is wanted;
     ``totals`` maps new column -> per-row numeric expression summed over the key.
     The counting branch reads key columns only and combines map-side.
     """
     keys, firsts, totals = list(keys), dict(firsts or {}), dict(totals or {})
+    if bar_seconds is None:
+        bar_seconds = spacing(df, keys, ts)
     slotted = df.withColumn("_slot", slot_of(ts, bar_seconds, chunk_bars))
     tallies = slotted.groupBy(*keys, "_slot").agg(
         F.count(F.lit(1)).alias("_rows"),

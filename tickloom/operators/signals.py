@@ -1,11 +1,12 @@
 """Trading signals as 0/1 columns for all symbols in one plan, and the registry of signals.
 
 A signal is the position wanted AFTER a bar's close. Undefined indicators are NULL and read as
-flat. Three kinds cover the built-in set:
+flat. Three kinds cover the built-in set, and a fourth is there for signals of one's own:
 
 ``frame``  a boolean over bounded frames;
 ``latch``  an enter/exit event, held until the opposite event (unbounded memory);
-``cross``  a pair of exponential averages against an exponential average of their difference.
+``cross``  a pair of exponential averages against an exponential average of their difference;
+``linear`` any linear recursion: a state vector ``x <- A x + u(bar)`` and a rule over the state.
 
 Bounded frames are exact inside a chunk because of the look-back copies; unbounded memory is
 carried between chunks through one summary row per chunk.
@@ -18,10 +19,11 @@ from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 from tickloom.functions.series import (
     CHUNK_BARS,
@@ -52,6 +54,19 @@ DEFAULT_SIGNALS = (
 )
 
 
+@dataclass(frozen=True)
+class Recursion:
+    """``x <- matrix @ x + inputs`` from a zero state, and the position that the state asks for.
+
+    ``inputs`` are columns of a bar (``close0`` is the symbol's first close: prices relative to it
+    start at zero); a NULL input counts as 0. ``decide`` gets the state's elements as columns.
+    """
+
+    matrix: Sequence[Sequence[float]]
+    inputs: Callable[[], Sequence[Column]]
+    decide: Callable[[Sequence[Column]], Column]
+
+
 @dataclass(frozen=True)
 class Signal:
     """One configured signal; ``build`` returns the column that its ``kind`` calls for.
@@ -67,6 +82,7 @@ class Signal:
     build: Callable[[WindowSpec, Collection[str]], Column] | None = None
     requires_volume: bool = False
     stage: Callable[[WindowSpec], dict[str, Column]] | None = None
+    recursion: Recursion | None = None
 
 
 Factory = Callable[[Mapping[str, Any]], Signal]
@@ -229,6 +245,75 @@ def _zero_state(params: Mapping[str, Any], schema_names: list[str]) -> Callable:
     return run
 
 
+# --- linear recursions ---------------------------------------------------------------------
+#
+# A chunk maps the state that enters it to ``A**bars @ state + z``, where z is what it makes of a
+# zero state. Such maps combine associatively, so they are scanned by doubling: inside a chunk over
+# its bars, and over the chunks of a symbol, one row each.
+
+
+def _scanned(matrix: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """All states of ``x <- matrix @ x + value`` from zero, in about log2(len) vector steps."""
+    out, power, step = values.copy(), matrix, 1
+    while step < len(out):
+        out[step:] = out[step:] + out[:-step] @ power.T
+        power, step = power @ power, 2 * step
+    return out
+
+
+def _local_states(matrix: np.ndarray, names: list[str]) -> Callable:
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("rn", ignore_index=True)
+        given = np.array(frame["_u"].tolist(), float).reshape(len(frame), len(matrix))
+        frame["_z"] = list(_scanned(matrix, np.nan_to_num(given, nan=0.0)))
+        return frame[names]
+
+    return run
+
+
+def _with_local_states(base: DataFrame, s: Signal) -> DataFrame:
+    given = F.array(*[F.coalesce(c.cast("double"), F.lit(0.0)) for c in s.recursion.inputs()])
+    schema = StructType(list(base.schema.fields)).add("_z", ArrayType(DoubleType()))
+    run = _local_states(np.array(s.recursion.matrix, float), schema.names)
+    done = base.withColumn("_u", given).groupBy("symbol", "chunk").applyInPandas(run, schema)
+    return done.withColumnRenamed("_z", f"z_{s.name}")
+
+
+def _entering_states(base: DataFrame, s: Signal, chunk_bars: int) -> DataFrame:
+    """The state that enters each chunk. All chunks but a symbol's last one are full."""
+    power = np.linalg.matrix_power(np.array(s.recursion.matrix, float), chunk_bars)
+    ends = base.groupBy("symbol", "chunk").agg(F.max_by(f"z_{s.name}", "rn").alias("_z"))
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("chunk", ignore_index=True)
+        after = _scanned(power, np.array(frame["_z"].tolist(), float))
+        frame["_in"] = list(np.vstack([np.zeros_like(after[:1]), after[:-1]]))
+        return frame[["symbol", "chunk", "_in"]]
+
+    # one row for each chunk of a symbol
+    kind = base.schema["chunk"].dataType.simpleString()
+    carried_in = ends.groupBy("symbol").applyInPandas(run, f"symbol string, chunk {kind}, _in array<double>")
+    return carried_in.withColumnRenamed("_in", f"in_{s.name}")
+
+
+def _state(s: Signal, steps: Column, chunk_bars: int) -> Column:
+    """The state after each bar: the local one and what is left of the one that entered."""
+    matrix = np.array(s.recursion.matrix, float)
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def finished(local: pd.Series, entered: pd.Series, steps: pd.Series) -> pd.Series:
+        # a state only decays over the bars of one chunk
+        powers = [np.eye(len(matrix))]
+        for _ in range(min(chunk_bars, int(steps.max()))):
+            powers.append(powers[-1] @ matrix)
+        left = np.einsum(
+            "nij,nj->ni", np.stack(powers)[steps.to_numpy(int)], np.array(entered.tolist(), float)
+        )
+        return pd.Series(list(np.array(local.tolist(), float) + left))
+
+    return finished(f"z_{s.name}", f"in_{s.name}", steps)
+
+
 def signal_base(
     bars: DataFrame, signals: Sequence[Signal], *, chunk_bars: int = CHUNK_BARS
 ) -> DataFrame:
@@ -275,6 +360,8 @@ def signal_base(
             base = base.withColumnsRenamed(
                 {f"z_{part}": f"z_{s.name}_{part}" for part in ("fast", "slow", "line")}
             )
+        elif s.kind == "linear":
+            base = _with_local_states(base, s)
     return base
 
 
@@ -321,7 +408,14 @@ def resolve_signals(
     steps = (F.col("rn") - F.col("chunk") * chunk_bars + 1).cast("double")
     for s in crosses:
         out = out.withColumn(f"sig_{s.name}", _cross(s, steps))
-    helpers = [c for c in out.columns if c.startswith(("ev_", "z_", "in_"))]
+    for s in signals:
+        if s.kind == "linear":
+            out = out.join(_entering_states(base, s, chunk_bars), ["symbol", "chunk"])
+            out = out.withColumn(f"x_{s.name}", _state(s, steps.cast("int"), chunk_bars))
+            state = [F.col(f"x_{s.name}")[i] for i in range(len(s.recursion.matrix))]
+            decided = F.coalesce(s.recursion.decide(state), F.lit(False)).cast("int")
+            out = out.withColumn(f"sig_{s.name}", decided)
+    helpers = [c for c in out.columns if c.startswith(("ev_", "z_", "in_", "x_"))]
     return out.drop(*helpers, "close0")
 
 

@@ -34,6 +34,8 @@ from tickloom.operators.retention import (
     retain,
 )
 from tickloom.operators.signals import (
+    Recursion,
+    Signal,
     align_external,
     cutler_rsi,
     pack,
@@ -159,6 +161,59 @@ def _external(w: Warehouse):
     return align_external(w.bars, foreign)
 
 
+def double_average(params):
+    """A signal of somebody else: the close above a doubled exponential average of itself."""
+    span = params["span"]
+    q = 1.0 - 2.0 / (span + 1.0)
+
+    def inputs():
+        moved = F.col("close") - F.col("close0")
+        return (1 - q) * moved, (1 - q) * (1 - q) * moved
+
+    def decide(state):
+        return F.col("close") - F.col("close0") > 2 * state[0] - state[1]
+
+    recursion = Recursion(((q, 0.0), ((1 - q) * q, q)), inputs, decide)
+    return Signal("double_average", params, span, 0, "linear", recursion=recursion)
+
+
+def _foreign_linear(w: Warehouse):
+    """The signal over chunks of 500 bars, so that its state crosses chunks at every scale."""
+    signals = [double_average({"span": 21})]
+    base = signal_base(w.bars, signals, chunk_bars=500)
+    return resolve_signals(base, signals, chunk_bars=500)
+
+
+def _fine_bars(w: Warehouse):
+    """Minute and hour bars of the event stream, keyed by symbol and granularity."""
+    events = w.table("events").select(
+        F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("at"), "value", "event_id"
+    )
+    made = None
+    for granularity, unit in (("1m", "minute"), ("1h", "hour")):
+        part = events.groupBy("symbol", F.date_trunc(unit, "at").alias("ts")).agg(
+            F.max_by("value", "event_id").alias("close")
+        ).withColumn("granularity", F.lit(granularity))
+        made = part if made is None else made.unionByName(part)
+    keys = ("symbol", "granularity")
+    numbered = number_bars(made, keys, bar_seconds=None, chunk_bars=64)
+    order = chunk_order(keys)
+    spread_out = spread(numbered, 20, chunk_bars=64)
+    return spread_out.withColumn("mean_20", full_mean("close", order, 20)).where("core")
+
+
+def _three_generations(w: Warehouse):
+    """Two runs kept of each variant out of three, where one variant in seven has only the newest."""
+    older = w.runs.where("mask % 7 <> 0").withColumn(
+        "executed_at", F.lit(w.as_of - dt.timedelta(days=2))
+    ).withColumn("backtest_run_id", F.concat(F.lit("older-"), "backtest_run_id"))
+    old = w.runs.where("mask % 7 <> 0").withColumn(
+        "executed_at", F.lit(w.as_of - dt.timedelta(days=1))
+    ).withColumn("backtest_run_id", F.concat(F.lit("old-"), "backtest_run_id"))
+    whole = w.runs.unionByName(old).unionByName(older)
+    return retain(whole, 2).groupBy("symbol", "executed_at").agg(F.count(F.lit(1)).alias("kept"))
+
+
 def _causality(w: Warehouse):
     """Signals of a truncated history against the same bars of the whole history."""
     cut = F.lit(w.as_of - dt.timedelta(days=700))
@@ -255,6 +310,23 @@ def _signal(name: str) -> Entry:
 
 
 ENTRIES = [
+    Entry("linear_signal", "X1 B4", "symbol:s ts:t sig_double_average:i", _foreign_linear,
+          """SELECT n.symbol, n.ts, (n.close > 2 * a.e1 - a.e2)::INT AS sig_double_average
+             FROM num n JOIN averages a USING (symbol, rn)"""),
+    Entry("fine_bars", "W1 W3 B1", "symbol:s granularity:s ts:t rn:i n:i mean_20:d6", _fine_bars,
+          """SELECT symbol, granularity, ts, row_number() OVER w - 1 AS rn,
+                    count(*) OVER (PARTITION BY symbol, granularity) AS n,
+                    CASE WHEN row_number() OVER w >= 20 THEN avg(close) OVER (PARTITION BY symbol,
+                        granularity ORDER BY ts ROWS 19 PRECEDING) END AS mean_20
+             FROM (SELECT event_type AS symbol, unit AS granularity,
+                          CASE unit WHEN '1m' THEN date_trunc('minute', ts) ELSE date_trunc('hour', ts) END
+                              AS ts, arg_max(value, event_id) AS close
+                   FROM events, (VALUES ('1m'), ('1h')) u(unit) GROUP BY 1, 2, 3)
+             WINDOW w AS (PARTITION BY symbol, granularity ORDER BY ts)"""),
+    Entry("retention_three_generations", "J13 W10", "symbol:s executed_at:t kept:i", _three_generations,
+          """SELECT symbol, as_of - to_days(back::INT) AS executed_at, count(*) AS kept
+             FROM lat, clock, (VALUES (0), (1)) g(back) WHERE back = 0 OR mask % 7 <> 0
+             GROUP BY 1, 2"""),
     Entry("indicators", "W1 W2 W3 W4 W5 W6 M3",
           "symbol:s ts:t open:d6 high:d6 low:d6 close:d6 volume:d6 daily_return:d6 sma_20:d8 "
           "sma_50:d8 sma_200:d9 vol_sma_20:d8 rsi_14:d6 bb_mid_20:d8 bb_upper_20:d6 "

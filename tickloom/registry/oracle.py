@@ -133,6 +133,12 @@ FRAGMENTS: dict[str, str] = {
                s_fib::INT + 2 * (e12 - e26 > line)::INT + 4 * latched + 8 * s_sma::INT
                    + 16 * s_vol::INT AS bits
         FROM frames f JOIN walk USING (symbol, rn)""",
+    "averages": """
+        SELECT symbol, rn, close AS e1, close AS e2 FROM num WHERE rn = 0
+        UNION ALL
+        SELECT f.symbol, f.rn, a.e1 + (f.close - a.e1) * 2 / 22,
+               a.e2 + (a.e1 + (f.close - a.e1) * 2 / 22 - a.e2) * 2 / 22
+        FROM averages a JOIN num f ON f.symbol = a.symbol AND f.rn = a.rn + 1""",
     # --- variants and windows -----------------------------------------------------------------
     "signal_list": """
         SELECT * FROM (VALUES (0, 'fibonacci', 100), (1, 'macd', 35), (2, 'rsi_reversion', 6),
@@ -361,7 +367,7 @@ FRAGMENTS: dict[str, str] = {
 }
 
 
-RECURSIVE = ("walk", "sim")
+RECURSIVE = ("walk", "sim", "averages")
 
 
 def _needs(sql: str) -> list[str]:

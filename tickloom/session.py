@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -53,7 +54,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return f"{named.rstrip('/')}/tickloom-{context.applicationId}"
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = os.path.join(tempfile.gettempdir(), f"tickloom-{context.applicationId}")
     os.makedirs(folder, exist_ok=True)
