@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import class_has_volume
-from tickloom.functions.series import number_bars
 from tickloom.operators.accounting import (
     Costs,
     active_bars,
@@ -24,23 +23,17 @@ from tickloom.operators.accounting import (
     with_history,
 )
 from tickloom.operators.indicators import indicators
-from tickloom.operators.signals import configure, resolve_signals, signal_base
+from tickloom.operators.signals import DEFAULT_SIGNALS, configure, resolve_signals, signal_base
 from tickloom.operators.variants import lattice
 from tickloom.plans import marts, silver
 from tickloom.session import materialise, prepare
 from tickloom.sources.tables import run_curves
 
 #: The latch never triggers on this data at its default period, so a quicker one is used.
-SIGNALS = (
-    {"name": "sma_cross", "params": {"fast": 20, "slow": 50}},
-    {"name": "macd", "params": {"fast": 12, "slow": 26, "signal": 9}},
-    {"name": "rsi_reversion", "params": {"period": 5, "entry_below": 40, "exit_above": 60}},
-    {
-        "name": "volume_breakout",
-        "params": {"price_window": 20, "volume_window": 20, "volume_mult": 1.5},
-        "requires_volume": True,
-    },
-    {"name": "fibonacci", "params": {"window": 100, "ratio": 0.618}},
+QUICK_LATCH = {"period": 5, "entry_below": 40, "exit_above": 60}
+SIGNALS = tuple(
+    {**entry, "params": QUICK_LATCH} if entry["name"] == "rsi_reversion" else entry
+    for entry in DEFAULT_SIGNALS
 )
 
 _CLASSES = {"1-URGENT": "crypto", "5-LOW": "fx"}
@@ -169,7 +162,7 @@ class Warehouse:
 
     @cached_property
     def canonical(self) -> DataFrame:
-        return silver.canonical(self.typed)
+        return materialise(silver.canonical(self.typed), "canonical")
 
     @cached_property
     def reconciliation(self) -> DataFrame:
@@ -263,7 +256,7 @@ class Warehouse:
     # --- scored layers ----------------------------------------------------------------------
     @cached_property
     def indicator_rows(self) -> DataFrame:
-        return indicators(self.bars)
+        return materialise(indicators(self.bars), "indicators")
 
     @cached_property
     def signal_rows(self) -> DataFrame:
@@ -293,7 +286,7 @@ class Warehouse:
 
     @cached_property
     def runs(self) -> DataFrame:
-        return assemble_runs(self.metrics, self.costs, F.lit(self.as_of))
+        return materialise(assemble_runs(self.metrics, self.costs, F.lit(self.as_of)), "runs")
 
     @cached_property
     def history(self) -> DataFrame:
@@ -334,10 +327,11 @@ class Warehouse:
 
     @cached_property
     def single_curves(self) -> DataFrame:
+        """Stored with the position ``rn`` and length ``n`` of each curve: it has every bar."""
         singles = [v for v in self.variants if len(v.components) == 1]
         points = curve_points(self.signal_rows, self.signals, singles, self.costs)
-        return points.join(self.runs.select("symbol", "strategy"), ["symbol", "strategy"],
-                           "left_semi")
+        kept = self.runs.select("symbol", "strategy")
+        return materialise(points.join(kept, ["symbol", "strategy"], "left_semi"), "curves")
 
     @cached_property
     def run_curve_rows(self) -> DataFrame:
@@ -347,12 +341,6 @@ class Warehouse:
             self.history,
         )
 
-    @cached_property
-    def numbered_curves(self) -> DataFrame:
-        return number_bars(
-            self.single_curves.drop("rn", "n"), ("symbol", "strategy")
-        )
-
 
 _OPEN: dict[tuple[str, str], Warehouse] = {}
 

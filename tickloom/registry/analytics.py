@@ -245,7 +245,7 @@ def _wide(w: Warehouse):
 
 
 def _thinned(w: Warehouse):
-    return w.numbered_curves.where(evenly_spaced(F.col("rn"), F.col("n"), 400)).withColumns(
+    return w.single_curves.where(evenly_spaced(F.col("rn"), F.col("n"), 400)).withColumns(
         {c: scalars.half_even(F.col(c), 2) for c in ("equity", "buy_hold_equity")}
     )
 

@@ -136,13 +136,13 @@ def _budget(w: Warehouse) -> DataFrame:
 def _documents(w: Warehouse) -> DataFrame:
     latest = marts.latest_runs(w.history)
     return sinks.symbol_documents(
-        w.catalog, latest, w.numbered_curves, _entries(w), F.lit(w.as_of)
+        w.catalog, latest, w.single_curves, _entries(w), F.lit(w.as_of)
     )
 
 
 def _curves(w: Warehouse) -> DataFrame:
     path = fresh_path(w.spark, "curves")
-    sinks.write_curves(w.numbered_curves, path)
+    sinks.write_curves(w.single_curves, path)
     return w.spark.read.parquet(path).groupBy("symbol", "strategy").agg(
         F.count(F.lit(1)).alias("points"), F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
