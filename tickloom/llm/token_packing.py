@@ -43,6 +43,9 @@ ROWS = (
 )
 
 
+_ROW_GROUP = 16 << 20
+
+
 class Rooms:
     """Open rows by the room left, with a segment tree over which rooms are taken."""
 
@@ -158,7 +161,7 @@ def matrices(
     end_id: int = 50256,
     pad_id: int = 50256,
     shard_tokens: int = 1 << 22,
-    rows: int = 256,
+    rows: int = 16,
 ) -> DataFrame:
     """Packed rows of all documents, in blocks of at most ``rows``; see ``MATRIX``."""
     if width < 1 or shard_tokens < 1 or rows < 1:
@@ -188,7 +191,7 @@ def matrices(
                 whole = len(ids) // width * width
                 yield from placed([(doc, a, ids[a : a + width])] for a in range(0, whole, width))
                 if whole < len(ids):
-                    held.append((doc, whole, ids[whole:]))
+                    held.append((doc, whole, ids[whole:].copy() if whole else ids))
                     size += len(ids) - whole
                 if size >= shard_tokens:
                     yield from placed(shard())
@@ -207,8 +210,12 @@ def matrices(
 
 
 def write_matrices(docs: DataFrame, path: str, **options) -> None:
-    """Pack ``docs`` (options as of ``matrices``) and write the blocks."""
-    matrices(docs, **options).write.mode("errorifexists").parquet(path)
+    """Pack ``docs`` (options as of ``matrices``) and write the blocks.
+
+    A reader holds a row group at a time, so these are kept small beside an executor's memory.
+    """
+    writer = matrices(docs, **options).write.mode("errorifexists")
+    writer.option("parquet.block.size", str(_ROW_GROUP)).parquet(path)
 
 
 def read_matrices(spark: SparkSession, path: str) -> DataFrame:

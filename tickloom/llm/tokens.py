@@ -19,18 +19,24 @@ class Encoder:
     def __init__(self, name: str = "byte_bpe_50k.json"):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
-
         with open(public_tokenizers.path(name.replace(".json", ".tiktoken")), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self._plain = tiktoken.Encoding(
             name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
-        self._whole = Tokenizer.from_file(public_tokenizers.path(name))
+        self._path, self._whole = public_tokenizers.path(name), None
+
+    def _by_file(self, text: str) -> list[int]:
+        """By the ``.json`` file, which is only loaded when a text asks for it."""
+        if self._whole is None:
+            from tokenizers import Tokenizer
+
+            self._whole = Tokenizer.from_file(self._path)
+        return self._whole.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str) -> np.ndarray:
         if "<|" in text:
-            encoded = self._whole.encode(text, add_special_tokens=False).ids
+            encoded = self._by_file(text)
         else:
             encoded = self._plain(text)
         return np.frombuffer(array("I", encoded), np.uint32)
