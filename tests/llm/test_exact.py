@@ -3,11 +3,12 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import plain
-from tickloom.llm import queries, secrets_markov, simhash_cover, suffix_dedup, winnowing
+from tickloom.llm import queries, secrets_markov, simhash_cover, suffix_dedup, suffix_sort, winnowing
 from tickloom.llm.imatch import compare_edited
 from tickloom.llm.mixture_packing import mixture_pack
 from tickloom.llm.tokens import Encoder
@@ -109,6 +110,30 @@ def test_repeats_of_divided_groups(spark):
     check_repeats(docs, tight)
 
 
+def test_repeats_across_the_parts_of_long_texts(spark):
+    rng = random.Random(5)
+    words = "".join(rng.choices("abcé ", k=700))
+    pairs = [(1, words + "x" + words[100:400]), (2, words[350:600] + "zz"), (3, None), (4, "short")]
+    docs = spark.createDataFrame(pairs, SCHEMA)
+    setting = suffix_dedup.Settings(span=40, gram=8, blocks=(16, 1), part_bytes=97)
+    check_repeats(docs, setting)
+
+
+@pytest.mark.parametrize("symbols", (1, 2, 3, 200))
+def test_suffix_array_and_prefixes(symbols):
+    rng = random.Random(symbols)
+    for size in (1, 2, 7, 40, 900):
+        data = bytes(rng.randrange(symbols) for _ in range(size)) * rng.randint(1, 3)
+        sa = suffix_sort.suffix_array(np.frombuffer(data, np.uint8))
+        assert sa.tolist() == sorted(range(len(data)), key=lambda i: data[i:])
+        before, length = suffix_sort.permuted_prefixes(data, sa)
+        for i, j, n in zip(range(len(data)), before.tolist(), length.tolist(), strict=True):
+            same = 0
+            while j >= 0 and max(i, j) + same < len(data) and data[i + same] == data[j + same]:
+                same += 1
+            assert n == same
+
+
 def test_contamination(docs, spark, small_dir):
     items = spark.read.parquet(f"{small_dir}/benchmark.parquet").select(
         F.col("item_id").cast("string").alias("item_id"), "text"

@@ -1,18 +1,19 @@
 """Removal of long repeated byte strings, by suffix arrays over content-defined shards.
 
 Every window of ``span`` bytes is assigned to the least hash among its grams (the leftmost one), its
-anchor. Equal windows have equal anchors, so windows need only be compared where their anchors'
-hashes are equal, and each shard holds whole groups of equal anchors. Neighbouring windows with the
-same anchor travel as one region, the bytes from the first window's start to the last one's end.
+anchor, and to a block by its distance from it. Neighbouring windows of one anchor and block travel as
+one region, the bytes from the first window's start to the last one's end. All windows that a block can
+have share most of their bytes; a region's group is the hash of these. Equal windows have equal anchors,
+blocks and shared bytes, so windows need only be compared within a group, and each shard holds whole
+groups.
 
-1. Regions are rows of two hashes (anchor, content). Groups with one region are done. Equal regions
+1. Regions are rows of two hashes (anchors, content). Groups with one region are done. Equal regions
    are counted, not compared: all their windows occur again, and one of them stands for all.
 2. Regions of a group that differ are fetched and laid side by side in a shard. Its suffix array is
    induced and the permuted common prefixes tell which windows occur at another place.
-3. A group with too many different regions for one shard is split by content: each region is cut
-   into blocks of windows, and a block's group is the hash of the bytes all its windows share. Blocks
-   are halved in size again and again where groups stay large, down to single windows, which differ
-   no longer. No group is capped.
+3. A group with too many different regions for one shard is split into smaller blocks, whose windows
+   share more bytes, again and again where groups stay large, down to single windows, which differ no
+   longer. No group is capped.
 """
 
 from __future__ import annotations
@@ -43,8 +44,10 @@ class Settings:
     #: Bytes of a shard, and different regions of a group from which on it is split.
     shard_bytes: int = 1_000_000
     group_regions: int = 2_500
-    #: Windows of a block at each split.
-    blocks: tuple[int, ...] = (64, 16, 4, 1)
+    #: Windows of a block, at first and at each split.
+    blocks: tuple[int, ...] = (128, 32, 8, 1)
+    #: Windows looked at together in a very long text; at most 2^27.
+    part_bytes: int = 1 << 24
 
 
 _REGION = "doc_id bigint, text_hash bigint, start bigint, stop bigint, offset int, key bigint, content bigint"
@@ -67,32 +70,39 @@ def gram_hashes(data: bytes, gram: int) -> np.ndarray:
 
 
 def regions(data: bytes, s: Settings) -> Iterator[tuple[int, int, int, int, int]]:
-    """start, stop (last window's start), offset (of the anchor), key, content of each region."""
-    n = len(data)
-    if n < s.span:
-        return
-    h = gram_hashes(data, s.gram)
-    width = s.span - s.gram + 1
-    # the hash above, the place below: ties go to the left
-    packed = (h >> np.uint64(28) << np.uint64(28)) | np.arange(len(h), dtype=np.uint64)
-    rows = -(-len(h) // width)
-    tiled = np.full(rows * width, np.uint64(2**64 - 1))
-    tiled[: len(h)] = packed
-    tiled = tiled.reshape(rows, width)
-    front = np.minimum.accumulate(tiled, axis=1).ravel()
-    back = np.minimum.accumulate(tiled[:, ::-1], axis=1)[:, ::-1].ravel()
-    starts = np.arange(n - s.span + 1)
-    anchor = np.minimum(back[starts], front[starts + width - 1]) & np.uint64((1 << 28) - 1)
-    anchor = anchor.astype(np.int64)
-    first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-    last = np.append(first[1:], len(anchor)) - 1
-    keys = h[anchor[first]].view(np.int64)
+    """start, stop (last window's start), offset (of the anchor), key, content of each region.
+
+    Texts above ``part_bytes`` are taken in parts that overlap by all but one byte of a window.
+    """
     view = memoryview(data)
-    for a, b, at, key in zip(
-        first.tolist(), last.tolist(), anchor[first].tolist(), keys.tolist(), strict=True
-    ):
-        content = xxhash.xxh3_64_intdigest(view[a : b + s.span], at - a)
-        yield a, b, at - a, key, _signed(content)
+    width = s.span - s.gram + 1
+    size = s.blocks[0]
+    for base in range(0, len(data) - s.span + 1, s.part_bytes):
+        part = view[base : base + s.part_bytes + s.span - 1]
+        h = gram_hashes(part, s.gram)
+        # the hash above, the place below: ties go to the left
+        packed = (h >> np.uint64(28) << np.uint64(28)) | np.arange(len(h), dtype=np.uint64)
+        rows = -(-len(h) // width)
+        tiled = np.full(rows * width, np.uint64(2**64 - 1))
+        tiled[: len(h)] = packed
+        tiled = tiled.reshape(rows, width)
+        front = np.minimum.accumulate(tiled, axis=1).ravel()
+        back = np.minimum.accumulate(tiled[:, ::-1], axis=1)[:, ::-1].ravel()
+        starts = np.arange(len(part) - s.span + 1)
+        least = np.minimum(back[starts], front[starts + width - 1])
+        anchor = (least & np.uint64((1 << 28) - 1)).astype(np.int64)
+        block = (anchor - starts) // size
+        moved = (anchor[1:] != anchor[:-1]) | (block[1:] != block[:-1])
+        first = np.flatnonzero(np.append(True, moved))
+        last = np.append(first[1:], len(anchor)) - 1
+        for a, b, at, k in zip(
+            first.tolist(), last.tolist(), anchor[first].tolist(), block[first].tolist(),
+            strict=True,
+        ):
+            core = part[at - k * size : at - k * size - size + 1 + s.span]
+            key = xxhash.xxh3_64_intdigest(core, k)
+            content = xxhash.xxh3_64_intdigest(part[a : b + s.span], at - a)
+            yield base + a, base + b, at - a, _signed(key), _signed(content)
 
 
 def _all_regions(docs: DataFrame, s: Settings) -> DataFrame:
@@ -227,7 +237,7 @@ def repeats(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     keyed = _keyed(docs)
     rows = materialise(_all_regions(keyed, s), "regions")
     found = None
-    for level, block in enumerate((0, *s.blocks)):
+    for level, block in enumerate(s.blocks):
         if level:
             rows = materialise(_blocks(hot, block, s), "region_blocks")
         first = F.min(F.struct("start", "doc_id", "text_hash")).alias("first")

@@ -1,10 +1,10 @@
 """Suffix arrays of byte strings by induced sorting, and their permuted common prefixes.
 
 Suffixes are L (larger than the next one) or S (smaller). The leftmost S suffixes of each run are
-sorted by sorting the substrings between them, which are named and sorted recursively; all other
-suffixes are induced from them in two scans. With few symbols, as in text, a scan handles one
+sorted by sorting and naming the substrings between them, and recursively the string of names; all
+other suffixes are induced from them in two scans. With few symbols, as in text, a scan handles one
 symbol's bucket at a time with whole-array steps; with many symbols, as deeper in the recursion, it
-goes element by element. Time is linear in the length, up to the longest run of one symbol.
+goes element by element. Scans are linear in the length, up to the longest run of one symbol.
 """
 
 from __future__ import annotations
@@ -26,12 +26,7 @@ def _sort(t: np.ndarray, symbols: int) -> np.ndarray:
     induce = _induce_buckets if symbols * 130 < n else _induce_each
     if not len(leftmost):
         return induce(t, symbols, small, leftmost)
-    rough = induce(t, symbols, small, leftmost)
-    is_leftmost = np.zeros(n, bool)
-    is_leftmost[leftmost] = True
-    in_order = rough[is_leftmost[rough]]
-    names = _name(t, leftmost, in_order)
-    reduced = names[leftmost]
+    reduced = _name(t, small, leftmost)
     count = int(reduced.max()) + 1
     if count == len(leftmost):
         order = np.empty(count, np.int32)
@@ -53,28 +48,35 @@ def _is_small(t: np.ndarray) -> np.ndarray:
     return after[at + 1] > t
 
 
-def _name(t: np.ndarray, leftmost: np.ndarray, in_order: np.ndarray) -> np.ndarray:
-    """Ranks of the substrings between leftmost-small positions, equal ones sharing a rank."""
-    n = len(t)
-    size = np.zeros(n, np.int32)
-    size[leftmost[:-1]] = leftmost[1:] - leftmost[:-1] + 1
-    size[leftmost[-1]] = n - leftmost[-1] + 1  # with the end, which equals nothing
-    a, b = in_order[:-1], in_order[1:]
-    differ = size[a] != size[b]
-    open_ = np.flatnonzero(~differ)
-    step = 0
+def _name(t: np.ndarray, small: np.ndarray, leftmost: np.ndarray) -> np.ndarray:
+    """Ranks of the substrings between leftmost-small positions, equal ones sharing a rank.
+
+    Read with their types, no such substring is the beginning of another one. They are sorted by a few
+    symbols at a time; a rank is the place of the first equal one, until further symbols tell them apart.
+    """
+    n, m = len(t), len(leftmost)
+    keys = np.append(2 * t.astype(np.int64) + small + 1, 0)  # the end is less than any symbol
+    size = np.diff(np.append(leftmost, n)) + 1
+    bits = int(keys.max()).bit_length()
+    take = max((62 - m.bit_length()) // bits, 1)
+    rank = np.zeros(m, np.int64)
+    open_, step = np.arange(m), 0
     while len(open_):
-        open_ = open_[size[a[open_]] > step]
-        inside = np.maximum(a[open_], b[open_]) + step < n
-        same = inside & (
-            t[np.minimum(a[open_] + step, n - 1)] == t[np.minimum(b[open_] + step, n - 1)]
-        )
-        differ[open_[~same]] = True
-        open_ = open_[same]
-        step += 1
-    names = np.zeros(n, np.int32)
-    names[in_order] = np.concatenate(([0], np.cumsum(differ)))
-    return names
+        packed, left, at = rank[open_], size[open_] - step, leftmost[open_] + step
+        for k in range(take):
+            packed = packed << bits | np.where(k < left, keys[np.minimum(at + k, n)], 0)
+        order = np.argsort(packed, kind="stable")
+        open_, packed = open_[order], packed[order]
+        place = np.arange(len(open_))
+        old = rank[open_]
+        first_old = np.maximum.accumulate(np.where(np.append(True, old[1:] != old[:-1]), place, 0))
+        fresh = np.append(True, packed[1:] != packed[:-1])
+        first = np.maximum.accumulate(np.where(fresh, place, 0))
+        rank[open_] = old + first - first_old
+        alone = fresh & np.append(fresh[1:], True)
+        step += take
+        open_ = open_[~alone & (size[open_] > step)]
+    return np.unique(rank, return_inverse=True)[1].astype(np.int32)
 
 
 def _induce_buckets(t, symbols, small, sorted_leftmost):
@@ -142,30 +144,33 @@ def _induce_each(t, symbols, small, sorted_leftmost):
     n = len(t)
     sizes = np.bincount(t, minlength=symbols)
     ends = np.cumsum(sizes)
-    text, is_small = t.tolist(), small.tolist()
+    # for each position the symbol before it if of the type in question, else -1; so for place -1
+    before = np.append(t[-1:], t)[:n]
+    is_small = np.append(True, small)[:n]
+    large_before = np.append(np.where(is_small, -1, before), -1).tolist()
+    is_small[0] = False
+    small_before = np.append(np.where(is_small, before, -1), -1).tolist()
     sa = [-1] * n
-    tail = ends.tolist()
-    for i in sorted_leftmost[::-1].tolist():
-        c = text[i]
+    tail, head = ends.tolist(), (ends - sizes).tolist()
+    for i, c in zip(sorted_leftmost[::-1].tolist(), t[sorted_leftmost[::-1]].tolist(), strict=True):
         tail[c] -= 1
         sa[tail[c]] = i
-    head = (ends - sizes).tolist()
-    c = text[n - 1]
+    c = int(t[n - 1])
     sa[head[c]] = n - 1
     head[c] += 1
-    for k in range(n):
-        i = sa[k] - 1
-        if i >= 0 and not is_small[i]:
-            c = text[i]
-            sa[head[c]] = i
-            head[c] += 1
+    for i in sa:  # sees what it writes further on
+        c = large_before[i]
+        if c >= 0:
+            at = head[c]
+            sa[at] = i - 1
+            head[c] = at + 1
     tail = ends.tolist()
-    for k in range(n - 1, -1, -1):
-        i = sa[k] - 1
-        if i >= 0 and is_small[i]:
-            c = text[i]
-            tail[c] -= 1
-            sa[tail[c]] = i
+    for i in reversed(sa):
+        c = small_before[i]
+        if c >= 0:
+            at = tail[c] - 1
+            sa[at] = i - 1
+            tail[c] = at
     return np.array(sa, np.int32)
 
 
