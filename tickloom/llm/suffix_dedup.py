@@ -21,6 +21,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -240,7 +242,7 @@ def repeats(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     for level, block in enumerate(s.blocks):
         if level:
             rows = materialise(_blocks(hot, block, s), "region_blocks")
-        first = F.min(F.struct("start", "doc_id", "text_hash")).alias("first")
+        first = F.min(F.struct("start", "doc_id", "text_hash", "stop", "offset")).alias("first")
         counts = materialise(
             rows.groupBy("key", "content").agg(F.count("*").alias("n"), first), "region_counts"
         )
@@ -248,20 +250,16 @@ def repeats(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         again = rows.join(counts.filter("n > 1").select("key", "content"), ["key", "content"])
         part = again.select("doc_id", "text_hash", "start", "stop")
         found = part if found is None else found.unionByName(part)
-        one = counts.select(
-            "key", "content", F.col("first.start").alias("_start"), F.col("first.doc_id").alias("_id"),
-            F.col("first.text_hash").alias("_hash"),
-        ).join(groups, "key")
-        on = (
-            F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-            & (F.col("start") == F.col("_start"))
-        )
-        one = one.withColumnsRenamed({"key": "_key", "content": "_content"})
-        on = on & (F.col("key") == F.col("_key")) & (F.col("content") == F.col("_content"))
-        chosen = rows.join(one, on).select(*rows.columns, "d")
-        if not level:
-            plain = chosen.dropDuplicates(["doc_id", "text_hash", "start"])
-            chosen = _with_bytes(plain, keyed, s).join(groups, "key")
+        # the first of equal regions stands for them
+        one = counts.join(groups, "key").select("first.*", "key", "content", "d")
+        if level:
+            names = ("doc_id", "text_hash", "start", "key", "content")
+            one = one.select(*[F.col(c).alias(f"_{c}") for c in names], "d")
+            same = [F.col(c) == F.col(f"_{c}") for c in names[1:]]
+            on = reduce(and_, same, F.col("doc_id").eqNullSafe(F.col("_doc_id")))
+            chosen = rows.join(one, on).select(*rows.columns, "d")
+        else:
+            chosen = _with_bytes(one.drop("d"), keyed, s).join(groups, "key")
         chosen = materialise(chosen, "region_bytes")
         found = found.unionByName(
             _compare(chosen.filter(F.col("d") <= s.group_regions), s).select(*part.columns)
