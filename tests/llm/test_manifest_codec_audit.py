@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import bpe_transducer, queries
 from tickloom.llm.common import ascii_lower, fold
-from tickloom.llm.divergence_audit import count_terms, source_audit
+from tickloom.llm.divergence_audit import _counts_of, count_terms, source_audit
 from tickloom.llm.merkle_manifest import manifest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -299,6 +299,29 @@ def test_audit_of_ties_that_cross_the_last_rank(spark):
     assert sorted(map(tuple, early.collect()), key=repr) == sorted(map(tuple, late.collect()), key=repr)
 
 
+def test_counts_of_documents_taken_together():
+    """Terms of several groups and documents, a document's repeats and groups out of order."""
+    rng = random.Random(4)
+    documents = [(rng.randrange(3), [rng.choice(b"a bb \xc3\xa9 d".split()) for _ in range(rng.randint(1, 9))]) for _ in range(50)]
+    tokens = [t for _, terms in documents for t in terms]
+    terms, numbers = _counts_of(tokens, [len(terms) for _, terms in documents], [g for g, _ in documents])
+    want = []
+    for group, term in {(g, t) for g, terms in documents for t in terms}:
+        found = [terms.count(term) for g, terms in documents if g == group and term in terms]
+        want.append((term, group, sum(found), len(found)))
+    assert sorted(zip(terms.to_pylist(), *(x.tolist() for x in numbers), strict=True)) == sorted(want)
+
+
+def test_a_text_of_several_slices_is_one_document(spark):
+    long = "Again and é " * 400_000
+    rows = [(1, long, "en", "s", 0), (2, "and again", "en", "s", 0), (3, long, "en", "t", 0), (4, None, None, "t", 0)]
+    counted = count_terms(spark.createDataFrame(rows, SCHEMA)).groupBy("lang", "source", "term")
+    got = {tuple(r) for r in counted.agg(F.sum("n"), F.sum("docs")).collect()}
+    want = {("en", "s", b"again", 400_001, 2), ("en", "s", b"and", 400_001, 2), ("en", "s", "é".encode(), 400_000, 1)}
+    want |= {("en", "t", x.encode(), 400_000, 1) for x in ("again", "and", "é")}
+    assert got == want | {("en", "s", None, 0, 0), ("en", "t", None, 0, 0), ("", "t", None, 0, 0)}
+
+
 @pytest.mark.parametrize("run", [
     manifest, audited, bpe_transducer.encode_texts, bpe_transducer.round_trip, source_audit,
     lambda d: bpe_transducer.digest(bpe_transducer.decode_ids(bpe_transducer.encode_texts(d))),

@@ -14,10 +14,11 @@ occurrences. All arithmetic is on integers; products that may leave 64 bits are
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,7 +30,10 @@ _BLANKED = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
 _COUNTS = "lang string, source string, term binary, n bigint, docs bigint"
+_NAMES = [x.split()[0] for x in _COUNTS.split(", ")]
 _SLICE = 1 << 22
+#: Rows handed on at once.
+_ROWS = 50_000
 
 
 def _terms(data: bytes) -> Iterator[list[bytes]]:
@@ -44,47 +48,84 @@ def _terms(data: bytes) -> Iterator[list[bytes]]:
         at = end
 
 
-def count_terms(docs: DataFrame, held: int = 400_000) -> DataFrame:
+def _counts_of(tokens: list[bytes], sizes: list[int], groups: list[int]) -> tuple[pa.Array, list[np.ndarray]]:
+    """Term, and arrays of group, n, docs, of some documents: ``sizes`` of their terms, their ``groups``."""
+    coded = pa.array(tokens, pa.binary()).dictionary_encode()
+    # documents in the order of their groups: one sort by (term, document) has each (term, group) together
+    of_doc = np.asarray(groups)
+    order = np.argsort(of_doc, kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    key = coded.indices.to_numpy().astype(np.int64) * len(order) + np.repeat(place, sizes)
+    key.sort()
+    term, doc = np.divmod(key, len(order))
+    group = of_doc[order][doc]
+    first = np.append(True, (term[1:] != term[:-1]) | (group[1:] != group[:-1]))
+    starts = np.flatnonzero(first)
+    n = np.diff(starts, append=len(key))
+    docs = np.add.reduceat(np.append(True, key[1:] != key[:-1]).astype(np.int64), starts)
+    return coded.dictionary.take(pa.array(term[starts])), [group[starts], n, docs]
+
+
+def count_terms(docs: DataFrame, held: int = 1 << 23) -> DataFrame:
     """Partial counts of (lang, source, term): ``n`` occurrences in ``docs`` documents.
 
     Every (lang, source) of the input also has a row with a null term. Nulls read as empty. A task
-    holds ``held`` distinct entries at most before it hands them on.
+    counts about ``held`` bytes of text together; a longer text than a slice is counted by itself.
     """
 
-    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        docs_of: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        groups: set[tuple[str, str]] = set()
-
-        def rows() -> pd.DataFrame:
-            out = [
-                (*group, term, k, docs_of[group][term])
-                for group, counts in n.items()
-                for term, k in counts.items()
-            ]
-            n.clear()
-            docs_of.clear()
-            return pd.DataFrame(out, columns=["lang", "source", "term", "n", "docs"])
-
-        for frame in frames:
-            for lang, source, text in frame.itertuples(index=False):
-                group = (lang, source)
-                if group not in groups:
-                    groups.add(group)
-                    yield pd.DataFrame([(*group, None, 0, 0)], columns=["lang", "source", "term", "n", "docs"])
-                seen: set[bytes] = set()
-                for terms in _terms(text.encode()):
-                    n[group].update(terms)
-                    seen.update(terms)
-                docs_of[group].update(seen)
-                if sum(map(len, n.values())) > held:
-                    yield rows()
-        yield rows()
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[tuple[str, str], int] = {}
+        tokens: list[bytes] = []
+        sizes: list[int] = []
+        groups: list[int] = []
+        size = 0
+
+        def rows(terms: pa.Array, group: np.ndarray, n: np.ndarray, docs: np.ndarray):
+            names = [pa.array(x, pa.string()) for x in zip(*known, strict=True)]
+            for at in range(0, len(n), _ROWS):
+                to = slice(at, at + _ROWS)
+                columns = [x.take(pa.array(group[to])) for x in names]
+                columns += [terms[to], pa.array(n[to], pa.int64()), pa.array(docs[to], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=_NAMES)
+
+        def gathered():
+            if tokens:
+                terms, numbers = _counts_of(tokens, sizes, groups)
+                yield from rows(terms, *numbers)
+            for x in (tokens, sizes, groups):
+                x.clear()
+
+        for batch in batches:
+            lang, source = (batch.column(k).to_pylist() for k in range(2))
+            texts = batch.column(2).cast(pa.binary())
+            for row, text in enumerate(texts):
+                group, data = known.setdefault((lang[row], source[row]), len(known)), text.as_py()
+                if len(data) > _SLICE:
+                    alone: Counter = Counter()
+                    for terms in _terms(data):
+                        alone.update(terms)
+                    n = np.fromiter(alone.values(), np.int64, len(alone))
+                    yield from rows(pa.array(list(alone), pa.binary()), np.full(len(n), group), n, np.ones_like(n))
+                    continue
+                terms = data.translate(_BLANKED).split()
+                if terms:
+                    tokens += terms
+                    sizes.append(len(terms))
+                    groups.append(group)
+                size += len(data)
+                if size > held:
+                    yield from gathered()
+                    size = 0
+        yield from gathered()
+        none, zero = pa.nulls(len(known), pa.binary()), np.zeros(len(known), np.int64)
+        if known:
+            yield from rows(none, np.arange(len(known)), zero, zero)
 
     narrow = docs.select(
         *[F.coalesce(F.col(x).cast("string"), F.lit("")).alias(x) for x in ("lang", "source", "text")]
     )
-    return narrow.mapInPandas(run, _COUNTS)
+    return narrow.mapInArrow(run, _COUNTS)
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
