@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tests.llm import plain
 from tickloom.llm import queries, secrets_markov, simhash_cover, suffix_dedup, suffix_sort, winnowing
-from tickloom.llm.imatch import compare_edited
+from tickloom.llm.common import whole_text
+from tickloom.llm.imatch import Settings as ImatchSettings
+from tickloom.llm.imatch import compare_edited, fingerprint, lexicon, term_hashes
 from tickloom.llm.mixture_packing import mixture_pack
 from tickloom.llm.tokens import Encoder
 from tickloom.llm.url_globs import filter_urls
@@ -204,6 +206,31 @@ def test_edited_texts(docs):
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
 
 
+def test_fingerprints_are_hashes_of_the_dealt_terms(docs):
+    """Against the dealing of collected term hashes; the lexicon is not walked for each text."""
+    terms = lexicon(docs, setting := ImatchSettings(low=0.02, high=0.3))
+    column = fingerprint(whole_text(), terms, setting)
+    own = F.array_sort(F.array_distinct(term_hashes(whole_text())))
+    found = docs.select(column.alias("parts"), own.alias("own"), whole_text().alias("text"))
+    assert "array_intersect" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got, dealt, n = found.collect(), [], setting.subsets
+    for at, r in enumerate(got):
+        band = [t for t in r.own if t in set(terms)]
+        enough = len(band) >= max(setting.least_terms, setting.least_share * len(r.own))
+        for family, held in enumerate((band if enough else [], r.own)):
+            part = 0
+            for shift, parts, used in setting.levels:
+                for k in range(used):
+                    dealt.append((at, family * n + part, [t for t in held if t >> shift & (parts - 1) == k]))
+                    part += 1
+    hashed = docs.sparkSession.createDataFrame(dealt, "at int, part int, held array<long>")
+    want = {(r.at, r.part): r.h for r in hashed.select("at", "part", F.hash("held").alias("h")).collect()}
+    alone = docs.sparkSession.createDataFrame([(r.text,) for r in got], "text string").select(F.hash("text")).collect()
+    for at, r in enumerate(got):
+        expected = [want[at, k] for k in range(2 * n)]
+        assert r.parts == (expected if r.own else expected[:n] + [alone[at][0]] * n)
+
+
 def check_pieces(pieces, pairs, window):
     """Every id in exactly one piece, windows gapless and full but for the last."""
     encoder = Encoder()

@@ -49,7 +49,7 @@ EMPTY = 42
 
 
 def term_hashes(text: Column) -> Column:
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), lambda w: w != "")
+    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
@@ -84,9 +84,9 @@ def _by_subset(found: Column, settings: Settings) -> Column:
 
     def dealt(of: Column, shift: int, parts: int) -> list[Column]:
         def part(k: int) -> Column:
-            return F.filter(
-                of, lambda t: F.shiftrightunsigned(t, shift).bitwiseAND(F.lit(parts - 1)) == k
-            )
+            # one mask in place: two steps a term, not three
+            bits, wanted = F.lit((parts - 1) << shift), F.lit(k << shift)
+            return F.filter(of, lambda t: t.bitwiseAND(bits) == wanted)
 
         return [part(k) for k in range(parts)]
 
@@ -99,7 +99,7 @@ def _by_subset(found: Column, settings: Settings) -> Column:
         if parts == fine:
             return F.slice(hashes(found), 1, used)
         first = F.filter(
-            found, lambda t: F.shiftrightunsigned(t, shift).bitwiseAND(F.lit(parts - 1)) < used
+            found, lambda t: t.bitwiseAND(F.lit((parts - 1) << shift)) < F.lit(used << shift)
         )
         coarse = F.transform(
             F.array(first),
@@ -116,11 +116,12 @@ def fingerprint(text: Column, terms: list[int], settings: Settings = Settings())
     ``EMPTY`` stands where no term falls in, and in the whole first family of a text for which the
     band does not speak. A text without any term has the hash of itself in the second family.
     """
-    lexicon_terms = F.lit(terms) if terms else F.array().cast("array<bigint>")
     own = F.sort_array(F.array_distinct(term_hashes(text)))
+    # a set of constants is asked once for each term of the text, whatever the lexicon's size; both
+    # ascend, so the band keeps the order of the lexicon
     in_band = F.transform(
         F.array(own),
-        lambda t: F.struct(t.alias("all"), F.array_intersect(lexicon_terms, t).alias("band")),
+        lambda t: F.struct(t.alias("all"), F.filter(t, lambda x: x.isin(terms)).alias("band")),
     )
 
     def families(found: Column) -> Column:
@@ -139,8 +140,8 @@ def fingerprint(text: Column, terms: list[int], settings: Settings = Settings())
 
 def written(parts: Column) -> Column:
     """A fingerprint as text: eight hex digits for each subset."""
-    digits = lambda p: F.lpad(F.lower(F.hex(p.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")
-    return F.array_join(F.transform(parts, digits), ":")
+    digits = lambda p: F.lpad(F.hex(p.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")
+    return F.lower(F.array_join(F.transform(parts, digits), ":"))
 
 
 def likeness(a: Column, b: Column, settings: Settings = Settings()) -> Column:
